@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("policies", "joins")
+FAMILIES = ("policies", "joins", "aggregates", "columns")
 
 
 def load_all() -> None:

@@ -64,7 +64,7 @@ def eav_sums(number: Column, value: Column, wanted: dict[str, object], zero_fill
     Measures in ``zero_fill`` read a null value as 0 (their sum is null only without rows).
     """
     return [
-        F.sum(F.when(_picked(number, w), F.coalesce(value, F.lit(0).cast("double")) if name in zero_fill else value)).alias(name)
+        F.sum(F.when(_picked(number, w), F.coalesce(value, F.lit(0)) if name in zero_fill else value)).alias(name)
         for name, w in wanted.items()
     ]
 
