@@ -96,8 +96,7 @@ DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "M-d-yyyy", "M.d.yyyy", "yyy
 
 def date_in(c: Column, formats=DATE_FORMATS) -> Column:
     """First date-like run in the text, read with the first format that fits; else null."""
-    found = F.regexp_extract(c, DATE_TEXT, 1)
-    return F.coalesce(*[F.try_to_date(found, f) for f in formats])
+    return once(F.regexp_extract(c, DATE_TEXT, 1), lambda x: F.coalesce(*[F.try_to_date(x, f) for f in formats]))
 
 
 def first_date(df: DataFrame, cols: list[str], formats=DATE_FORMATS) -> DataFrame:
@@ -146,12 +145,16 @@ def _steps(c: Column, steps) -> Column:
     return reduce(lambda acc, step: F.regexp_replace(acc, step[0], step[1]), steps, c)
 
 
+def once(expr: Column, use) -> Column:
+    """``use(x)`` with ``x`` bound to ``expr``: a long chain is written into the plan and evaluated once."""
+    return F.get(F.transform(F.array(expr), use), F.lit(0))
+
+
 def _drop_missing(c: Column, legacy: bool) -> Column:
-    if legacy:
-        c = _steps(c, [(f"(?i){w}", "") for w in MISSING_WORDS])
-    else:
-        c = F.when(F.upper(c).isin(*MISSING_WORDS), F.lit(None)).otherwise(c)
-    return F.nullif(c, F.lit(""))
+    words = "|".join(MISSING_WORDS)
+    c = F.regexp_replace(c, f"(?i)({words})" if legacy else rf"(?i)^({words})\z", "")
+    # First non-empty element of a one-element array: null for empty text, with ``c`` used once.
+    return F.get(F.filter(F.array(c), lambda x: F.length(x) > 0), F.lit(0))
 
 
 def account_name_of(c: Column, legacy: bool = False) -> Column:
@@ -183,7 +186,7 @@ def match_key(df: DataFrame, col: str, legacy: bool = False, out: str | None = N
 
 def token_key_of(c: Column, legacy: bool = False) -> Column:
     text = F.upper(folded(F.upper(c)))
-    key = F.array_join(F.array_sort(F.split(text, r"\W+")), " ")
+    key = F.array_join(F.sort_array(F.split(text, r"\W+")), " ")
     # Outer punctuation leaves empty words in front; the legacy rule removes only one of the blanks they add.
     key = _steps(key, [(r"^ ", ""), (r" \z", "")]) if legacy else F.trim(key)
     return _drop_missing(key, legacy)

@@ -28,12 +28,14 @@ def normalise_names(df: DataFrame, width: int | None = 30) -> DataFrame:
     return df.toDF(*names)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, fold: bool = True) -> DataFrame:
     """Project ``df`` onto ``schema`` by name, driven by each declared type.
 
     Text is folded to ASCII; numbers are the first number in the text; dates the
     first date in the text. A column the input lacks becomes a typed null.
+    ``fold=False`` is for text that is ASCII already.
     """
+    clean = folded if fold else (lambda c: c)
     have = {c.upper(): t for c, t in df.dtypes}
     spelled = {c.upper(): c for c in df.columns}
     out = []
@@ -45,11 +47,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         col, kind = F.col(f"`{spelled[key]}`"), have[key]
         text = col.cast("string")
         if isinstance(field.dataType, T.StringType):
-            expr = folded(text)
+            expr = clean(text)
         elif isinstance(field.dataType, T.DateType):
-            expr = col.cast("date") if kind.startswith(("date", "timestamp")) else date_in(folded(text))
+            expr = col.cast("date") if kind.startswith(("date", "timestamp")) else date_in(clean(text))
         elif isinstance(field.dataType, T.NumericType):
-            expr = col if kind not in ("string",) else number_in(folded(text))
+            expr = col if kind not in ("string",) else number_in(clean(text))
             expr = expr.cast(field.dataType)
         else:
             expr = col.cast(field.dataType)

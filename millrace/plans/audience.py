@@ -21,6 +21,8 @@ URBAN = "U"
 RURAL = "rural"
 ANY_CHANNEL = "ANYTV"
 
+# Weighted counts are decimals, so that their sums do not depend on the order of rows.
+METRIC = "decimal(30,6)"
 ADDITIVE = ("raw_reach", "raw_watchtime", "reach", "watchtime")
 
 
@@ -51,7 +53,7 @@ def weighted_cells(viewing: DataFrame, universe: DataFrame, actives: DataFrame,
     weights = universe.join(actives, cells).select(*cells, weight.alias("__weight"))
     return (
         raw.join(weights, cells, "left")
-        .withColumns({"reach": F.col("raw_reach") * F.col("__weight"), "watchtime": F.col("raw_watchtime") * F.col("__weight")})
+        .withColumns({n: (F.col(f"raw_{n}") * F.col("__weight")).cast(METRIC) for n in ("reach", "watchtime")})
         .drop("__weight")
     )
 
@@ -72,16 +74,19 @@ def with_population(rolled: DataFrame, universe: DataFrame, actives: DataFrame,
     return rolled.join(region_rollups(people, [], ["universe", "active_pop"], *cells, **rules), cells, "left")
 
 
+def _minutes() -> Column:
+    return F.col("watchtime").cast("double") / 60.0
+
+
 def programme_ratios(df: DataFrame, exact_minutes: Column, nominal_minutes: Column, digits: int = 6) -> DataFrame:
     """reach %, GVT, TVT, TSV and TVR from weighted reach, watch seconds and universe."""
-    minutes = F.col("watchtime") / 60.0
-    pop = F.col("universe").cast("double")
+    minutes, reach, pop = _minutes(), F.col("reach").cast("double"), F.col("universe").cast("double")
     gvt, tvt = F.try_divide(minutes, nominal_minutes), F.try_divide(minutes, exact_minutes)
     return df.withColumns({
-        "reach_perc": F.round(F.try_divide(F.col("reach"), pop) * 100, digits),
+        "reach_perc": F.round(F.try_divide(reach, pop) * 100, digits),
         "gvt": F.round(gvt, digits),
         "tvt": F.round(tvt, digits),
-        "tsv": F.round(F.try_divide(minutes, F.col("reach")), digits),
+        "tsv": F.round(F.try_divide(minutes, reach), digits),
         "tvr": F.round(F.try_divide(tvt, pop) * 100, digits),
     })
 
@@ -108,13 +113,12 @@ def slot_summary(viewing: DataFrame, universe: DataFrame, actives: DataFrame, ce
     """30-minute metrics per state, class, channel and slot, the all-viewing pseudo-channel included."""
     base = weighted_cells(viewing, universe, actives, cells, [channel, *slot], device, seconds, any_of=channel)
     rolled = with_population(region_rollups(base, [channel, *slot]), universe, actives, cells)
-    watched = F.col("watchtime") / 60.0
-    pop = F.col("universe").cast("double")
+    watched, reach, pop = _minutes(), F.col("reach").cast("double"), F.col("universe").cast("double")
     impressions = watched / minutes
     return rolled.withColumns({
-        "reach_perc": F.round(F.try_divide(F.col("reach"), pop) * 100, digits),
+        "reach_perc": F.round(F.try_divide(reach, pop) * 100, digits),
         "impressions": F.round(impressions, digits),
-        "tsv": F.round(F.try_divide(watched, F.col("reach")), digits),
+        "tsv": F.round(F.try_divide(watched, reach), digits),
         "tvr": F.round(F.try_divide(impressions, pop) * 100, digits),
     })
 
@@ -122,18 +126,20 @@ def slot_summary(viewing: DataFrame, universe: DataFrame, actives: DataFrame, ce
 def weekly_summary(slots: DataFrame, weekly_reach: DataFrame, keys: list[str], channel: str, week: str, digits: int = 6) -> DataFrame:
     """Week metrics: cumulative reach, gross impressions (Σ over slots), GRP (Σ TVR), share of all viewing, TSV.
 
-    ``slots`` holds unrounded ``impressions``/``tvr`` per slot; ``weekly_reach`` has the
-    weighted distinct reach, watch time and universe per (keys, channel, week).
+    ``slots`` comes from ``slot_summary`` with the week of each slot; ``weekly_reach`` has
+    the weighted distinct reach, watch time and universe per (keys, channel, week).
     """
-    gross = slots.groupBy(*keys, channel, week).agg(F.sum("impressions").alias("gross_impressions"), F.sum("tvr").alias("grp"))
+    gross = slots.groupBy(*keys, channel, week).agg(
+        *[F.sum(F.col(c).cast(METRIC)).cast("double").alias(out) for c, out in (("impressions", "gross_impressions"), ("tvr", "grp"))]
+    )
     anytv = gross.filter(F.col(channel) == ANY_CHANNEL).select(*keys, week, F.col("gross_impressions").alias("gross_impressions_anytv"))
     joined = weekly_reach.join(gross, [*keys, channel, week], "left").join(anytv, [*keys, week], "left")
-    pop = F.col("universe").cast("double")
+    reach, pop = F.col("reach").cast("double"), F.col("universe").cast("double")
     return joined.withColumns({
-        "creach": F.round("reach", digits),
-        "reach_perc": F.round(F.try_divide(F.col("reach"), pop) * 100, digits),
+        "creach": F.round(reach, digits),
+        "reach_perc": F.round(F.try_divide(reach, pop) * 100, digits),
         "share": F.round(F.try_divide(F.col("gross_impressions"), F.col("gross_impressions_anytv")) * 100, digits),
-        "tsv": F.round(F.try_divide(F.col("watchtime") / 60.0, F.col("reach")), digits),
+        "tsv": F.round(F.try_divide(_minutes(), reach), digits),
         "gross_impressions": F.round("gross_impressions", digits),
         "gross_impressions_anytv": F.round("gross_impressions_anytv", digits),
         "grp": F.round("grp", digits),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import account_name_of, match_key_of, token_key_of
+from millrace.functions.text import account_name_of, ascii_fold, match_key_of, token_key_of
 from millrace.operators.filters import within_lookback
 from millrace.operators.fuzzy import fuzzy_best
 from millrace.operators.joins import choose_key, coalesce_pairs, merge_outer
@@ -92,6 +92,8 @@ def merge_master(sheets: DataFrame, master: DataFrame) -> DataFrame:
         "PLAN_EFFCTV_DATE": "POLICY_EFFECTIVE_DATE", "PLAN_EXPRTN_DATE": "POLICY_EXPIRATION_DATE",
         "ACCDNT_DATE": "ACCIDENT_DATE", "VLTN_DATE": "VALUATION_DATE",
     }).withColumn("IS_MASTER", F.lit(1))
+    # The sheets are ASCII already; folding the master here leaves nothing to fold after the merge.
+    known = ascii_fold(known, [c for c, t in known.dtypes if t == "string"])
     key = ["CLM_IDNTFR", "ACCIDENT_DATE", "POLICY_EFFECTIVE_DATE", "TERM_EFFCTV_DATE"]
     ties = [c for c in known.columns if c not in (*key, "VALUATION_DATE")]
     known = keep_last(known, key, ["VALUATION_DATE"], ties).withColumn("CLM_IDNTFR_JOIN_KEY", token_key_of(F.col("CLM_IDNTFR")))
@@ -99,7 +101,7 @@ def merge_master(sheets: DataFrame, master: DataFrame) -> DataFrame:
     ours = ours.withColumn("CLM_IDNTFR_JOIN_KEY", token_key_of(F.col("__claim"))).drop("__claim")
     both = merge_outer(ours, known, MERGE_KEYS)
     final = F.upper(F.coalesce("ORGNZTN_NAME", "ENTITY", "ENTITY_FROM_EMAIL_SUBJECT_LINE"))
-    return conform(coalesce_pairs(both.withColumn("ENTITY_FINAL", final), PAIRS, drop=False), loss_history())
+    return conform(coalesce_pairs(both.withColumn("ENTITY_FINAL", final), PAIRS, drop=False), loss_history(), fold=False)
 
 
 def loss_history_linkage(new: DataFrame, old: DataFrame, requests: DataFrame, master: DataFrame, today: Column,

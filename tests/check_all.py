@@ -15,7 +15,7 @@ from millrace.session import build_session  # noqa: E402
 
 def main() -> None:
     sf_dir, only = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__enabled="false")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, sql = duck(sf_dir), entry.oracle_sql()
     bad = 0
