@@ -53,13 +53,21 @@ def tidy_names(df: DataFrame, col: str, tags=NAME_TAGS) -> DataFrame:
     return df.withColumn(col, tidy_of(F.col(col), tags))
 
 
+def fold_text(s: str | None) -> str | None:
+    if s is None or s.isascii():
+        return s
+    split = unicodedata.normalize("NFKD", s).replace("\u2013", "-").replace("\u2014", "-")
+    return "".join(ch for ch in split if not unicodedata.combining(ch)).encode("ascii", "ignore").decode("ascii")
+
+
 @F.pandas_udf(T.StringType())
 def _nfkd(values: pd.Series) -> pd.Series:
-    split = values.str.normalize("NFKD").str.replace("–", "-", regex=False).str.replace("—", "-", regex=False)
-    return split.map(
-        lambda s: "".join(ch for ch in s if not unicodedata.combining(ch)).encode("ascii", "ignore").decode("ascii"),
-        na_action="ignore",
-    )
+    return values.map(fold_text, na_action="ignore")
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfkd_rows(rows: pd.Series) -> pd.Series:
+    return rows.map(lambda row: [fold_text(s) for s in row], na_action="ignore")
 
 
 NON_ASCII = r"[^\x00-\x7F]"
@@ -74,7 +82,16 @@ def folded(c: Column) -> Column:
 
 
 def ascii_fold(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: folded(F.col(c)) for c in cols})
+    """Fold many text columns with one call per batch; rows without any non-ASCII text are not sent."""
+    if not cols:
+        return df
+    cells = [F.col(f"`{c}`") for c in cols]
+    sent = F.when(F.concat_ws("", *cells).rlike(NON_ASCII), F.array(*cells))
+    packed = df.withColumn("__fold", _nfkd_rows(sent))
+    done = F.col("__fold").isNotNull()
+    return packed.withColumns({
+        c: F.when(done, F.get("__fold", F.lit(i))).otherwise(cell) for i, (c, cell) in enumerate(zip(cols, cells))
+    }).drop("__fold")
 
 
 NUMBER = r"([-+]?\d*\.\d+|\d+)"

@@ -133,8 +133,10 @@ def fuzzy_best(left: DataFrame, right: DataFrame, col: str, right_col: str | Non
     """
     if min_score < LOWEST_MIN_SCORE:
         raise ValueError(f"blocking needs min_score >= {LOWEST_MIN_SCORE}")
-    ls = left.select(F.col(col).alias("l")).filter(F.length("l") > 0).distinct()
-    rs = right.select(F.col(right_col or col).alias("r")).filter(F.length("r") > 0).distinct()
+    # Distinct names are read many times below; pinned, their source is read once. Filters come
+    # after that, or they would be pushed down and repeat whatever expression made the name.
+    ls = pin(left.select(F.col(col).alias("l")).distinct()).filter(F.length("l") > 0)
+    rs = pin(right.select(F.col(right_col or col).alias("r")).distinct()).filter(F.length("r") > 0)
     same = rs.select(F.col("r").alias("l"), "r")
     found = [ls.join(same, "l").select("l", "r", F.lit(100).alias("score"))]
     open_names = ls.join(same, "l", "left_anti")

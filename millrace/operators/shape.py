@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import date_in, folded, number_in
+from millrace.functions.text import ascii_fold, date_in, number_in
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -35,28 +35,24 @@ def conform(df: DataFrame, schema: T.StructType, fold: bool = True) -> DataFrame
     first date in the text. A column the input lacks becomes a typed null.
     ``fold=False`` is for text that is ASCII already.
     """
-    clean = folded if fold else (lambda c: c)
-    have = {c.upper(): t for c, t in df.dtypes}
     spelled = {c.upper(): c for c in df.columns}
+    wanted = {spelled[f.name.upper()] for f in schema.fields if f.name.upper() in spelled}
+    texts = [c for c, t in df.dtypes if t == "string" and c in wanted]
+    source = ascii_fold(df, texts) if fold else df
+    kinds = {c.upper(): t for c, t in df.dtypes}
     out = []
     for field in schema.fields:
         name, key = field.name, field.name.upper()
         if key not in spelled:
             out.append(F.lit(None).cast(field.dataType).alias(name))
             continue
-        col, kind = F.col(f"`{spelled[key]}`"), have[key]
-        text = col.cast("string")
-        if isinstance(field.dataType, T.StringType):
-            expr = clean(text)
-        elif isinstance(field.dataType, T.DateType):
-            expr = col.cast("date") if kind.startswith(("date", "timestamp")) else date_in(clean(text))
-        elif isinstance(field.dataType, T.NumericType):
-            expr = col if kind not in ("string",) else number_in(clean(text))
-            expr = expr.cast(field.dataType)
-        else:
-            expr = col.cast(field.dataType)
-        out.append(expr.alias(name))
-    return df.select(*out)
+        col, is_text = F.col(f"`{spelled[key]}`"), kinds[key] == "string"
+        if is_text and isinstance(field.dataType, T.DateType):
+            col = date_in(col)
+        elif is_text and isinstance(field.dataType, T.NumericType):
+            col = number_in(col)
+        out.append(col.cast(field.dataType).alias(name))
+    return source.select(*out)
 
 
 def null_if(df: DataFrame, cols: list[str], sentinel) -> DataFrame:

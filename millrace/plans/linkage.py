@@ -14,6 +14,7 @@ from millrace.operators.ranking import keep_last
 from millrace.operators.setops import union_by_name
 from millrace.operators.shape import conform
 from millrace.schemas import claim_sheet, loss_history
+from millrace.session import pin
 
 MATCH = "ENTITY_FOR_TEXT_MATCHING"
 MERGE_KEYS = ["CLM_IDNTFR_JOIN_KEY", "ACCIDENT_DATE", "TERM_EFFCTV_DATE", "VALUATION_DATE"]
@@ -59,26 +60,31 @@ def request_list(requests: DataFrame) -> DataFrame:
     return keep_last(keyed, [MATCH, "TERM_EFFCTV_DATE"], ["MDFD_DATE"], ["ACCOUNT_NAME", "STATUS", "NEW_RENEWAL"])
 
 
-def match_entities(sheets: DataFrame, requests: DataFrame, min_score: int = 90) -> DataFrame:
-    """Replace each sheet's match key by the request key it matches best, null if none does.
+def entity_matches(sheets: list[DataFrame], requests: DataFrame, min_score: int = 90) -> DataFrame:
+    """(key, matched): for every match key in the sheets the request key it fits best.
 
-    The key is cleaned once more before matching, as a stored key may predate the cleaner.
+    A key is cleaned once more before matching, as a stored key may predate the cleaner.
     """
-    cleaned = sheets.withColumn("__clean", match_key_of(F.col(MATCH)))
-    found = fuzzy_best(cleaned.select("__clean").distinct(), requests, "__clean", MATCH, min_score)
-    return (
-        cleaned.join(found.select("__clean", "matched"), "__clean", "left")
-        .withColumn(MATCH, F.col("matched")).drop("__clean", "matched")
-    )
+    # Pinned: the distinct keys are few beside the sheets, and cleaning must not be replanned into the ingest.
+    keys = pin(union_by_name(*[s.select(F.col(MATCH).alias("__key")) for s in sheets]).distinct())
+    cleaned = keys.select("__key", match_key_of(F.col("__key")).alias("__clean"))
+    return fuzzy_best(cleaned, requests, "__clean", MATCH, min_score).select("__key", "matched")
+
+
+def match_entities(sheets: DataFrame, matches: DataFrame) -> DataFrame:
+    """Replace each sheet's match key by the request key found for it, null if none was."""
+    joined = sheets.withColumnRenamed(MATCH, "__key").join(matches, "__key", "left")
+    return joined.withColumnRenamed("matched", MATCH).drop("__key")
 
 
 def attach_requests(new: DataFrame, old: DataFrame, requests: DataFrame, today: Column, min_score: int = 90) -> DataFrame:
     """New sheets with their requests (or none), and old sheets that have one, cut to the year before the term."""
     claim = [MATCH, "CLAIM_NUMBER", "ACCIDENT_DATE", "POLICY_EFFECTIVE_DATE"]
     rest = [c for c in claim_sheet().names if c not in (*claim, "VALUATION_DATE")]
-    now = match_entities(new, requests, min_score).join(requests, MATCH, "left")
+    matches = entity_matches([new, old], requests, min_score)
+    now = match_entities(new, matches).join(requests, MATCH, "left")
     before = (
-        match_entities(keep_last(old, claim, ["VALUATION_DATE"], rest), requests, min_score)
+        match_entities(keep_last(old, claim, ["VALUATION_DATE"], rest), matches)
         .join(requests, MATCH, "inner").withColumn("RECORD_INSERTION_DATE", today.cast("date"))
     )
     recent = within_lookback(union_by_name(now, before), "VALUATION_DATE", "TERM_EFFCTV_DATE", 365)
@@ -97,9 +103,11 @@ def merge_master(sheets: DataFrame, master: DataFrame) -> DataFrame:
     key = ["CLM_IDNTFR", "ACCIDENT_DATE", "POLICY_EFFECTIVE_DATE", "TERM_EFFCTV_DATE"]
     ties = [c for c in known.columns if c not in (*key, "VALUATION_DATE")]
     known = keep_last(known, key, ["VALUATION_DATE"], ties).withColumn("CLM_IDNTFR_JOIN_KEY", token_key_of(F.col("CLM_IDNTFR")))
+    known = pin(known)
     ours = choose_key(sheets.withColumn("IS_SHEET", F.lit(1)), known, "CLM_IDNTFR", "CLAIM_NUMBER", "CLAIMANT_NAME", "__claim")
     ours = ours.withColumn("CLM_IDNTFR_JOIN_KEY", token_key_of(F.col("__claim"))).drop("__claim")
-    both = merge_outer(ours, known, MERGE_KEYS)
+    # Each side is read two or three times by the merge and is expensive to make again.
+    both = merge_outer(pin(ours), known, MERGE_KEYS)
     final = F.upper(F.coalesce("ORGNZTN_NAME", "ENTITY", "ENTITY_FROM_EMAIL_SUBJECT_LINE"))
     return conform(coalesce_pairs(both.withColumn("ENTITY_FINAL", final), PAIRS, drop=False), loss_history(), fold=False)
 

@@ -30,6 +30,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def build_session(app: str = "millrace", master: str | None = None, **settings: str) -> SparkSession:
     """A session in UTC with the package settings; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    # Call-site capture costs a stack walk per column expression, which wide plans feel.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
