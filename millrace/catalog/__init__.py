@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("policies", "joins", "aggregates", "columns", "contacts", "claims", "reports")
+FAMILIES = ("policies", "joins", "aggregates", "columns", "contacts", "claims", "reports", "storage", "streams")
 
 
 def load_all() -> None:

@@ -50,11 +50,11 @@ def grep(df: DataFrame, text: str, col: str = "value") -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, cols: list[str], fmt: str = "orc", mode: str = "overwrite",
-                      cluster: bool = True) -> None:
+                      cluster: bool = True, **options) -> None:
     """Partitioned files. ``cluster`` brings rows of one partition value together first, so a value is written
     by few tasks; adaptive execution splits a value that is too large for one."""
     laid = df.hint("rebalance", *cols) if cluster and cols else df
-    laid.write.format(fmt).mode(mode).partitionBy(*cols).save(path)
+    laid.write.format(fmt).mode(mode).options(**options).partitionBy(*cols).save(path)
 
 
 def to_columnar(df: DataFrame, casts: dict[str, str], parts: list[str], path: str, fmt: str = "orc") -> None:
@@ -75,7 +75,7 @@ def write_report(df: DataFrame, cols: list[tuple[str, str]], path: str, sep: str
 def export_csv(df: DataFrame, path: str, by: str | None = None, single: bool = False, max_rows: int = 1_000_000) -> None:
     """CSV with header: one folder per value of ``by``; or one file, refused above ``max_rows`` rows."""
     if by:
-        write_partitioned(df.withColumn("__by", F.col(by)).withColumnRenamed("__by", f"{by}_part"), path, [f"{by}_part"], "csv")
+        write_partitioned(df.withColumn(f"{by}_part", F.col(by)), path, [f"{by}_part"], "csv", header=True)
         return
     if single:
         if df.limit(max_rows + 1).count() > max_rows:

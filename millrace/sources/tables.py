@@ -40,9 +40,11 @@ def load_subjects(spark: SparkSession, sources: dict[str, str | DataFrame], tag:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def materialise(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Drop and re-create table ``name`` from ``df``."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(name)
+def materialise(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None, parts: list[str] = ()) -> DataFrame:
+    """Drop and re-create table ``name`` from ``df``; with ``path`` its files live there."""
+    writer = df.write.format(fmt).mode("overwrite")
+    writer = writer.partitionBy(*parts) if parts else writer
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
