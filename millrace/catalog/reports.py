@@ -36,8 +36,10 @@ def _sources(spark, sf):
     option = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     options = li.select(F.col("l_orderkey").alias("cnsmr_rqst_id"), option.alias("smmry_optn_id"), F.col("l_orderkey").alias("wrksht_optn_id")).distinct()
     approvals = li.groupBy(F.col("l_orderkey").alias("cnsmr_rqst_id"), option.alias("smmry_optn_id")).agg(
-        F.max(F.when(F.col("l_returnflag") == "R", "Y")).alias("sold_indctr"), F.max(F.when(F.col("l_linestatus") == "F", "Y")).alias("apprvd_indctr")
-    ).withColumn("apprvl_id", F.col("smmry_optn_id"))
+        F.max(F.col("l_returnflag") == "R").alias("sold"), F.max(F.col("l_linestatus") == "F").alias("ok")
+    ).select(
+        "cnsmr_rqst_id", "smmry_optn_id", F.col("smmry_optn_id").alias("apprvl_id"), F.when(F.col("sold"), "Y").alias("sold_indctr"), F.when(F.col("ok"), "Y").alias("apprvd_indctr")
+    )
     values = li.select(
         option.alias("smmry_optn_id"), F.explode(F.array(*[F.lit(x) for x in NUMBERS])).alias("elmnt_id"),
         F.floor("l_extendedprice").cast("double").alias("__v"), "l_returnflag", "l_discount",

@@ -106,11 +106,19 @@ def chosen_options(requests: DataFrame, options: DataFrame, approvals: DataFrame
 
 
 def option_measures(values: DataFrame, elements: DataFrame) -> DataFrame:
-    """All attribute measures of an option in one pass, with the derived sold-to-guide percentage."""
+    """All attribute measures of an option, with the derived sold-to-guide percentage.
+
+    Sums and text picks are two aggregates: sums alone can be hashed, while text makes an
+    aggregate sort its rows, and only the few elements picked as text need that. Both are
+    partitioned by option, so joining them moves nothing.
+    """
     number, value = F.col("elmnt_nmbr"), F.col("nmbr_vl")
-    wide = values.join(elements, "elmnt_id").groupBy("smmry_optn_id").agg(
-        *eav_sums(number, value, SUMS, ZERO_FILL), *eav_scalars(number, as_plain(value), F.col("char_vl"), SCALARS)
+    listed = values.join(elements, "elmnt_id")
+    sums = listed.groupBy("smmry_optn_id").agg(*eav_sums(number, value, SUMS, ZERO_FILL))
+    picks = listed.filter(number.isin(*SCALARS.values())).groupBy("smmry_optn_id").agg(
+        *eav_scalars(number, as_plain(value), F.col("char_vl"), SCALARS)
     )
+    wide = sums.join(picks, "smmry_optn_id", "left")
     base = F.col("target_premium") - F.col("retro_loss")
     guide = F.round((F.col("actual_treaty") + F.col("net_premium") - F.col("retro_loss")) * 100 / F.nullif(base, F.lit(0.0)), 1)
     return wide.withColumns({
