@@ -106,11 +106,11 @@ def first_date(spark, sf):
 
 @query("""
 SELECT n_nationkey, trim(replace(regexp_replace(regexp_replace(split_part(r, '-', 1), '\\s', '', 'g'), '\\(Rural\\)|\\(Urban\\)|Rural|Urban', '', 'g'), '/', '-')) AS market FROM (
- SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN n_name || ' / Goa (Rural) - x' WHEN n_regionkey = 1 THEN n_name || ' (Urban)' WHEN n_regionkey = 2 THEN n_name || ' Rural - y' ELSE n_name END AS r FROM nation)""")
+ SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN n_name || ' / Coast (Rural) - x' WHEN n_regionkey = 1 THEN n_name || ' (Urban)' WHEN n_regionkey = 2 THEN n_name || ' Rural - y' ELSE n_name END AS r FROM nation)""")
 def market_from_region(spark, sf):
     name, key = F.col("n_name"), F.col("n_regionkey")
     region = (
-        F.when(key == 0, F.concat(name, F.lit(" / Goa (Rural) - x"))).when(key == 1, F.concat(name, F.lit(" (Urban)")))
+        F.when(key == 0, F.concat(name, F.lit(" / Coast (Rural) - x"))).when(key == 1, F.concat(name, F.lit(" (Urban)")))
         .when(key == 2, F.concat(name, F.lit(" Rural - y"))).otherwise(name)
     )
     return text.market_from_region(table(spark, sf, "nation").select("n_nationkey", region.alias("r")), "r").drop("r")
