@@ -6,7 +6,11 @@ from conftest import SF
 
 import __spark_entry__ as entry
 
-SQL = entry.oracle_sql()
+from millrace.catalog import load_all
+from millrace.catalog.registry import QUERIES
+
+load_all()
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +18,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     if name in SQL:
@@ -24,7 +28,7 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert sorted(SQL) == sorted(entry.queries())
+    assert sorted(SQL) == sorted(QUERIES)
 
 
 def test_flagship(spark):
