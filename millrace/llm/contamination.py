@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import store
-from millrace.llm.textbatch import Words, flat, list_column, mix, shingles, slices, spans
+from millrace.llm.textbatch import list_column, mix, shingles, slices, split_letters
 
 HASHES = 64
 PERCENT = 80
@@ -27,25 +27,6 @@ _RNG = np.random.default_rng(4)
 FACTOR = (_RNG.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 SHIFT = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
 SALT = mix(np.arange(1, HASHES + 1, dtype=np.uint64))[:, None]
-LETTER = np.zeros(256, bool)
-LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[0x41:0x5B] += 32
-
-
-def words_of(column: pa.Array) -> Words:
-    """Words of letters, digits and bytes beyond ASCII in lower case, so that punctuation, spacing and case do not hide an item.
-
-    Capitals of the Latin-1 block are lowered too (second byte 0x80-0x9E after 0xC3, but the multiplication sign).
-    """
-    data, offsets = flat(column)
-    data = LOWER[data]
-    after = np.flatnonzero(data[:-1] == 0xC3) + 1 if len(data) else np.zeros(0, np.int64)
-    capital = after[(data[after] <= 0x9E) & (data[after] != 0x97) & (data[after] >= 0x80)]
-    data[capital] += 0x20
-    starts, ends = spans(LETTER[data], offsets)
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    return Words(data, offsets, starts, ends, row, np.searchsorted(row, np.arange(len(offsets))))
 
 
 def block_minima(values: np.ndarray, size: int) -> np.ndarray:
@@ -65,7 +46,7 @@ def keys_of(best: np.ndarray, size_class: int) -> np.ndarray:
 
 def item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        values, bounds = shingles(words_of(batch.column("text")))
+        values, bounds = shingles(split_letters(batch.column("text")))
         sets = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         keys = [keys_of(block_minima(s, len(s)), len(s).bit_length() - 1).ravel() if len(s) else np.zeros(0, np.uint64) for s in sets]
         joined = lambda parts: list_column(np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])])
@@ -79,7 +60,7 @@ def window_batches(classes: list[int], seen: np.ndarray) -> Callable[[Iterator[p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values, bounds = shingles(words_of(batch.column("text")))
+            values, bounds = shingles(split_letters(batch.column("text")))
             rows, keys = [], []
             for r, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
                 if a == b or not classes:
@@ -105,7 +86,7 @@ def window_batches(classes: list[int], seen: np.ndarray) -> Callable[[Iterator[p
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        values, bounds = shingles(words_of(batch.column("text")))
+        values, bounds = shingles(split_letters(batch.column("text")))
         sets = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_column(np.concatenate(sets), np.r_[0, np.cumsum([len(s) for s in sets])])], ["doc_id", "shingles"])
 

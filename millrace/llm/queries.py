@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import contamination, minhash, packing, rules, secrets
+from millrace.llm import contamination, language, minhash, packing, rules, secrets, toxicity
 from millrace.llm.tables import store, table
 
 QUERIES = {}
@@ -44,6 +44,16 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from millrace.llm.tables import store
 
@@ -96,7 +97,7 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _masked(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
     def one(t, begin, end):
         if t is None:

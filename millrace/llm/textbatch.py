@@ -5,7 +5,7 @@ Words are runs of bytes other than space and 0x09-0x0D, so spans found in UTF-8
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -69,12 +71,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             yield batch.slice(a, b - a)
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span."""
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function from starts and ends to 64-bit hashes of those byte spans."""
     up, down = _POWERS.get(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_CODE[data] * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return lambda starts, ends: mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hasher(data)(starts, ends)
 
 
 @dataclass
@@ -112,6 +118,20 @@ def split_words(column: pa.Array, lower: bool = True, space: np.ndarray = SPACE)
     return Words(data, offsets, starts, ends, row, np.searchsorted(row, np.arange(len(offsets))))
 
 
+def split_letters(column: pa.Array) -> Words:
+    """Words of letters, digits and bytes beyond ASCII in lower case, so that punctuation, spacing and case make no difference.
+
+    Capitals of the Latin-1 block are lowered too (second byte 0x80-0x9E after 0xC3, but the multiplication sign).
+    """
+    data, offsets = flat(column)
+    data = LOWER[data]
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    data[after[(data[after] <= 0x9E) & (data[after] != 0x97) & (data[after] >= 0x80)]] += 0x20
+    starts, ends = spans(LETTER[data], offsets)
+    row = np.searchsorted(offsets, starts, side="right") - 1
+    return Words(data, offsets, starts, ends, row, np.searchsorted(row, np.arange(len(offsets))))
+
+
 def shingles(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all ``width``-word shingles in text order and the first shingle of each row.
 
