@@ -20,7 +20,7 @@ FOLDS, HELD_OUT = 5, 0
 PER_CLASS = 2000  # labelled documents of each class used for training, at most
 BUCKETS, WIDTH, GRAMS = 1 << 18, 8, (3, 4, 5)
 STEPS, RATE, SCALE, DECAY = 120, 0.05, 40.0, 1e-4
-LEAST_TEXTS = 5  # training texts a bucket must occur in
+LEAST_TEXTS = 40  # training texts a bucket must occur in; fewer if the sample is under 4,000
 
 
 def subwords(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -58,7 +58,7 @@ def train(sample: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
         base += n
     col, row, value = np.concatenate(keys), np.concatenate(rows), np.concatenate(weights) * SCALE
     spread = np.bincount(col, minlength=BUCKETS)  # texts that have the bucket
-    keep = spread[col] >= LEAST_TEXTS
+    keep = spread[col] >= min(LEAST_TEXTS, 1 + len(sample) // 100)
     col, row, value = col[keep], row[keep], value[keep]
     used, col = np.unique(col, return_inverse=True)
     y = np.array([y for _, y in sample])
@@ -105,5 +105,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without a letter or digit, get the softmax of the biases alone; if no label of one class is known, all texts do. Repeated rows are scored each. Other columns are ignored.
     """
     table, bias = train(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, PER_CLASS))
+    # Training weighs both classes alike; the share of the class among all training labels sets the level of the scores.
+    seen = labels.where(fold("doc_id", FOLDS) != HELD_OUT).agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
+    bias = bias + np.log([max(seen[1], 1), max(seen[0], 1)])
     own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"))
     return own.mapInArrow(score_batches(table, bias), "doc_id bigint, held_out boolean, score double, predicted int")
