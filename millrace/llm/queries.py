@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import contamination, language, lines, minhash, packing, rules, secrets, toxicity
+from millrace.llm import contamination, language, lines, minhash, packing, pages, rules, secrets, toxicity
 from millrace.llm.tables import store, table
 
 QUERIES = {}
@@ -37,6 +37,11 @@ def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
