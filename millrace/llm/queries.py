@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import contamination, language, lines, minhash, packing, pages, rules, secrets, toxicity
+from millrace.llm import contamination, language, lines, minhash, mixing, packing, pages, rules, secrets, toxicity
 from millrace.llm.tables import store, table
 
 QUERIES = {}
@@ -32,6 +32,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
