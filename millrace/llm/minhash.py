@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm.tables import store
 from millrace.llm.textbatch import list_column, mix, shingles, slices, split_words
@@ -29,7 +30,8 @@ BLOCK = 4096
 _RNG = np.random.default_rng(81)
 FACTOR = (_RNG.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 SHIFT = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
-SKETCH = "doc_id bigint, n_shingles bigint, set_key bigint, set_key2 bigint, signature array<bigint>, bands array<bigint>, shingles array<bigint>"
+SKETCH = "doc_id bigint, n_shingles bigint, set_key bigint, set_key2 bigint, signature array<bigint>, bands array<bigint>"
+SETS = "node bigint, shingles array<bigint>"
 
 
 def minima(values: np.ndarray) -> np.ndarray:
@@ -52,33 +54,47 @@ def band_keys(best: np.ndarray) -> np.ndarray:
     return mix((mix(best.astype(np.uint64) + weights) * weights).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64))
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    return list_column(np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])])
+
+
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        words = split_words(batch.column("text"))
-        values, bounds = shingles(words)
-        sets, keys, keys2, signs, bands = [], [], [], [], []
+        values, bounds = shingles(split_words(batch.column("text")))
+        size, keys, keys2, signs, bands = [], [], [], [], []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             own = np.unique(values[a:b])
-            sets.append(own)
+            size.append(len(own))
             keys.append(mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
             keys2.append(mix(own + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
             best = minima(own) if len(own) else None
             signs.append(pack(best) if len(own) else np.zeros(0, np.int64))
             bands.append(band_keys(best) if len(own) else np.zeros(0, np.uint64))
-        size = np.array([len(s) for s in sets], np.int64)
-        of = lambda parts: list_column(np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(size), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(keys2, np.uint64).view(np.int64)),
-             of(signs), of(bands), of(sets)],
-            ["doc_id", "n_shingles", "set_key", "set_key2", "signature", "bands", "shingles"],
+            [batch.column("doc_id"), pa.array(np.array(size, np.int64)), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(keys2, np.uint64).view(np.int64)),
+             _lists(signs), _lists(bands)],
+            ["doc_id", "n_shingles", "set_key", "set_key2", "signature", "bands"],
         )
 
 
+def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        values, bounds = shingles(split_words(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), _lists([np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])], ["node", "shingles"])
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: set size, set identity, packed signature, band keys, full set."""
+    """One row per document: set size, set identity, packed signature, band keys."""
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sketch_batches, SKETCH)
 
 
+def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The full sets of ``nodes``, made again from their texts; equal rows give one set."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string")).join(nodes, "node", "left_semi")
+    once = Window.partitionBy("node", F.xxhash64("text")).orderBy("text")
+    return texts.withColumn("copy", F.row_number().over(once)).where("copy = 1").select("node", "text").mapInArrow(set_batches, SETS)
+
+
 def estimate(left: str = "l_signature", right: str = "r_signature") -> Column:
     """Similarity from equal nibbles, less the share 2**-bits that agree by chance."""
     mask = F.lit(0x1111111111111111)
@@ -125,10 +141,10 @@ def _side(nodes: DataFrame, side: str, *extra: str) -> DataFrame:
     return nodes.select(*[F.col(c).alias(names.get(c, c)) for c in ("node", *extra)])
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (l, r) whose full sets reach the threshold, as links (src, dst)."""
     near = pairs.join(_side(nodes, "l", "n_shingles", "signature"), "l").join(_side(nodes, "r", "n_shingles", "signature"), "r").where(_alike(percent))
-    full = near.select("l", "r").join(_side(nodes, "l", "shingles"), "l").join(_side(nodes, "r", "shingles"), "r")
+    full = near.select("l", "r").join(_side(sets, "l", "shingles"), "l").join(_side(sets, "r", "shingles"), "r")
     common = F.size(F.array_intersect("l_shingles", "r_shingles"))
     union = F.size("l_shingles") + F.size("r_shingles") - common
     return full.where(common * 100 >= union * percent).select(F.col("l").alias("src"), F.col("r").alias("dst"))
@@ -154,19 +170,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     key = ["n_shingles", "set_key", "set_key2"]
     reps = store(slim.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "reps")
     nodes = store(
-        made.join(reps.select(*key, F.col("node").alias("doc_id")), [*key, "doc_id"], "left_semi").withColumnRenamed("doc_id", "node")
-        .select("node", "n_shingles", "signature", "bands", "shingles", "set_key").dropDuplicates(["node", "set_key"]), "nodes",
+        made.withColumnRenamed("doc_id", "node").join(reps.select("node", *key), ["node", *key], "left_semi")
+        .groupBy("node", *key).agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes",
     )
     spread = nodes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     first = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other")
     banded = store(spread.join(first, "bucket").select("bucket", "node", "leader"), "banded")
-    links = store(confirm(banded.where("node <> leader").select(F.col("leader").alias("l"), F.col("node").alias("r")).distinct(), nodes, percent), "links")
+    sets = store(full_sets(docs, banded.select("node").distinct()), "sets")  # of documents that share a bucket with another text
+    links = store(confirm(banded.where("node <> leader").select(F.col("leader").alias("l"), F.col("node").alias("r")).distinct(), nodes, sets, percent), "links")
     comps = store(components(links), "comps")
 
     mixed = _mixed(banded.select("bucket", "node"), comps)
     second = mixed.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("leader"), F.min_by("comp", F.xxhash64("node", "bucket")).alias("leader_comp"))
     again = mixed.join(second, "bucket").where("comp <> leader_comp").select(F.least("node", "leader").alias("l"), F.greatest("node", "leader").alias("r")).distinct()
-    links = store(links.unionByName(confirm(again, nodes, percent)), "links")
+    links = store(links.unionByName(confirm(again, nodes, sets, percent)), "links")
     comps = store(components(links), "comps")
 
     rest = store(_mixed(banded.select("bucket", "node"), comps).join(nodes.select("node", "n_shingles", "signature"), "node"), "rest")
@@ -175,7 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         for s in ("l", "r")
     )
     left = one.join(two, "bucket").where((F.col("l") < F.col("r")) & (F.col("l_comp") != F.col("r_comp")) & _alike(percent)).select("l", "r").distinct()
-    links = links.unionByName(confirm(left, nodes, percent))
+    links = links.unionByName(confirm(left, nodes, sets, percent))
     comps = store(components(links), "comps")
 
     linked = reps.join(comps, "node", "left").select(*key, F.coalesce("component_id", "node").alias("component"))
