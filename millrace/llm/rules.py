@@ -147,4 +147,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, store, risk: float = RISK, lev
     columns = docs.columns
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
     judged = verdict(with_statistics(own), calibrate(measured, labels, risk, level))
-    return judged.where("kept").select("row.*")
+    # A filter would be pushed down through the statistics and repeat them inside itself; exploding an array of one row or none is not.
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row")).select("row.*")

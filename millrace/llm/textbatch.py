@@ -142,7 +142,7 @@ def shingles(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(count) + 1, np.int64)
     total = np.zeros(n, np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         total[:n - k] += code[k:] * PLACE_CODE[k]
     last = words.row
     whole = np.zeros(n, bool)
