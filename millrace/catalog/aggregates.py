@@ -133,9 +133,10 @@ def plain_totals(spark, sf):
     )
 
 
-@query("SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus, l_discount FROM lineitem")
+@query("SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R')")
 def exact_duplicates(spark, sf):
-    return table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus", "l_discount").dropDuplicates()
+    li = table(spark, sf, "lineitem")
+    return li.unionByName(li.filter(F.col("l_returnflag") == "R")).dropDuplicates()
 
 
 @query("SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS signal_count FROM events GROUP BY 1, 2")

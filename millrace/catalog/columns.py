@@ -94,12 +94,14 @@ def first_number(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS found FROM orders""")
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderpriority <> '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS found FROM orders""")
 def first_date(spark, sf):
     st, d = F.col("o_orderstatus"), F.col("o_orderdate")
     note = (
         F.when(st == "F", F.concat(F.lit("closed "), F.date_format(d, "M/d/yyyy"), F.lit(" by 3")))
-        .when(st == "O", F.concat(F.lit("as of "), F.date_format(d, "yyyy-MM-dd"))).otherwise(F.concat(F.lit("bad 13/45/"), F.year(d)))
+        .when((st == "O") & (F.col("o_orderpriority") == "1-URGENT"), F.concat(F.lit("short "), F.date_format(d, "M-d-yy")))
+        .when((st == "O") & (F.col("o_orderpriority") == "2-HIGH") & (F.dayofmonth(d) > 12), F.concat(F.lit("day first "), F.date_format(d, "d/M/yyyy")))
+        .when(st == "O", F.concat(F.lit("as of "), F.date_format(d, "yyyy-MM-dd"))).when(F.col("o_orderpriority") == "5-LOW", F.date_format(d, "M/d/yy")).otherwise(F.concat(F.lit("bad 13/45/"), F.year(d)))
     )
     return text.first_date(table(spark, sf, "orders").select("o_orderkey", note.alias("found")), ["found"])
 
@@ -330,12 +332,12 @@ def sql_views(spark, sf):
     shape.register(table(spark, sf, "supplier"), "millrace_supplier")
     shape.register(table(spark, sf, "nation"), "millrace_nation")
     return spark.sql(
-        "SELECT s_suppkey, s_name, n_name FROM millrace_supplier JOIN millrace_nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0"
+        "SELECT s_suppkey, s_name, n_name FROM millrace_supplier JOIN millrace_nation ON s_nationkey = n_nationkey"
     )
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag IN (SELECT l_returnflag FROM lineitem GROUP BY 1 HAVING count(*) > 10) AND l_quantity > 49")
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag IN (SELECT l_returnflag FROM lineitem GROUP BY 1 HAVING count(*) > 10)")
 def approved_list(spark, sf):
     li = table(spark, sf, "lineitem")
     approved = li.groupBy("l_returnflag").count().filter(F.col("count") > 10)
-    return filters.keep_listed(li.filter(F.col("l_quantity") > 49), approved, "l_returnflag").select("l_orderkey", "l_linenumber", "l_partkey")
+    return filters.keep_listed(li, approved, "l_returnflag").select("l_orderkey", "l_linenumber", "l_partkey")

@@ -149,7 +149,7 @@ tiers AS (
     CASE WHEN NOT scored THEN 3 WHEN n_part_support > 0 THEN 2
          WHEN n_vehicles > 0 THEN CASE WHEN annual_liab_prm < 30000 THEN 1 ELSE 2 END
          ELSE CASE WHEN total_hno_prm < 3000 THEN 1 ELSE 2 END END AS touch_rank,
-    CASE WHEN NOT scored THEN 'Sentinel or Legacy writing company' WHEN n_part_support > 0 THEN 'Partially supported'
+    CASE WHEN NOT scored THEN 'Writing company not scored' WHEN n_part_support > 0 THEN 'Partially supported'
          WHEN n_vehicles > 0 THEN CASE WHEN annual_liab_prm < 30000 THEN 'Less than $30K liability premium'
            ELSE 'Greater than $30K liability premium' END
          ELSE CASE WHEN total_hno_prm < 3000 THEN 'HNO only, less than $3K total premium'
@@ -169,7 +169,7 @@ def contact_events(spark: SparkSession, sf: str) -> DataFrame:
     kind, k = F.col("event_type"), F.get_json_object("props", "$.k").cast("int")
     user = F.col("user_id").cast("string")
     return e.select(
-        "event_id", F.concat(F.lpad(user, 4, "0"), F.lit("-"), F.lpad(user, 6, "0"), F.lit("/EV")).alias("pol_id"),
+        "event_id", F.concat(F.lpad(user, 12, "0"), F.lit("-"), F.lpad(user, 12, "0"), F.lit("/EV")).alias("pol_id"),
         F.col("ts").alias("date_time"),
         F.when(kind == "click", "Web").when(kind == "view", "Phone").when(kind == "signup", "eMail").when(kind == "purchase", "Mail").otherwise("System").alias("channel"),
         F.when(k < 15, "Pay my Bill").when(k < 30, "Renewal").when(k < 45, "Billing Call").when(k < 55, "Audit Notice")
@@ -183,21 +183,21 @@ def contact_terms(spark: SparkSession, sf: str) -> DataFrame:
     user = F.col("user_id").cast("string")
     first = F.date_add(F.lit("2023-01-01").cast("date"), (F.col("user_id") * 7 % 365).cast("int"))
     return users.select(
-        F.concat(F.lpad(user, 4, "0"), F.lit(" "), F.lpad(user, 6, "0")).alias("pol_id"),
+        F.concat(F.lpad(user, 12, "0"), F.lit(" "), F.lpad(user, 12, "0")).alias("pol_id"),
         F.explode(F.array(first, F.date_add(first, 365))).alias("term_eff_dt"),
     )
 
 
 CONTACT_SQL = """
 contacts AS (
-  SELECT event_id, lpad(CAST(user_id AS VARCHAR), 4, '0') || '-' || lpad(CAST(user_id AS VARCHAR), 6, '0') || '/EV' AS pol_id,
+  SELECT event_id, lpad(CAST(user_id AS VARCHAR), 12, '0') || '-' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '/EV' AS pol_id,
          ts AS date_time,
          CASE event_type WHEN 'click' THEN 'Web' WHEN 'view' THEN 'Phone' WHEN 'signup' THEN 'eMail' WHEN 'purchase' THEN 'Mail' ELSE 'System' END AS channel,
          CASE WHEN k < 15 THEN 'Pay my Bill' WHEN k < 30 THEN 'Renewal' WHEN k < 45 THEN 'Billing Call' WHEN k < 55 THEN 'Audit Notice'
               WHEN k < 65 THEN 'Get Quote' WHEN k < 75 THEN 'Missing Info' WHEN k < 85 THEN 'Cancellation' WHEN k < 95 THEN 'Unlisted point' END AS touch_point
   FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events)),
 terms AS (
-  SELECT lpad(CAST(user_id AS VARCHAR), 4, '0') || ' ' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS pol_id,
+  SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') || ' ' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS pol_id,
          unnest([DATE '2023-01-01' + CAST(user_id * 7 % 365 AS INTEGER), DATE '2023-01-01' + CAST(user_id * 7 % 365 AS INTEGER) + 365]) AS term_eff_dt
   FROM (SELECT DISTINCT user_id FROM events)),
 journey AS (

@@ -30,12 +30,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its footer is read once per session."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
-    if key not in _TABLES or _TABLES[key].sparkSession is not spark:
-        _TABLES[key] = spark.read.parquet(key[1])
-    return _TABLES[key]
+    """A given table, with the files its folder has now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

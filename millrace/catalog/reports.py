@@ -72,7 +72,7 @@ def _sources(spark, sf):
     credits = o.select(F.col("o_orderkey").alias("cnsmr_rqst_id"), F.col("o_orderkey").alias("review_id"), F.when(pri == "3-MEDIUM", "OPEN").otherwise("COMPLETE").alias("review_status"), F.substring(pri, 1, 1).alias("credit_rating"))
     snapshots = o.select(
         F.col("o_custkey").alias("orgnztn_id"), F.to_date("o_orderdate").alias("as_of_date"), F.when(st == "F", "CA").otherwise("NY").alias("stt_abbrvtn"),
-        F.floor("o_totalprice").cast("double").alias("expsr_amnt"), F.when(pri == "5-LOW", "OTHER").otherwise("AWCP").alias("expsr_type"),
+        F.floor("o_totalprice").cast("double").alias("expsr_amnt"), F.when(pri == "5-LOW", "OTHER").otherwise("PAYROLL").alias("expsr_type"),
     )
     roles = c.select(
         F.col("c_custkey").alias("orgnztn_id"), F.col("c_name").alias("last_name"), F.when(F.col("c_acctbal") > 0, 1).otherwise(2).alias("role_grp_id"),
@@ -129,7 +129,7 @@ LEFT JOIN prods ON prods.rq = ch.rq LEFT JOIN expo e ON e.rq = b.rq LEFT JOIN sn
 
 @query(REPORT_SQL)
 def declination_report(spark, sf):
-    return declination.declination_report(_sources(spark, sf), FIRST, LAST)
+    return declination.declination_report(_sources(spark, sf), FIRST, LAST, "PAYROLL")
 
 
 @query("""

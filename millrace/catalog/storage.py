@@ -130,28 +130,34 @@ def report_export(spark, sf):
     return files.read_csv(spark, path, sep="\t")
 
 
-@query("SELECT event_id, event_type, CAST(week(ts) AS INTEGER) AS week FROM events WHERE week(ts) >= 3")
+@query("SELECT event_id, event_type, CAST(week(ts) AS INTEGER) AS week FROM events")
 def weekly_export(spark, sf):
     """One CSV folder per week, read back by folder."""
     path = scratch_path(spark, "weeks")
     e = table(spark, sf, "events").select("event_id", "event_type", F.weekofyear("ts").alias("week"))
     files.export_csv(e, path, by="week")
     schema = T.StructType([*e.schema.fields, T.StructField("week_part", T.IntegerType())])
-    return files.read_csv(spark, path, schema).filter(F.col("week_part") >= 3).drop("week_part")
+    return files.read_csv(spark, path, schema).drop("week_part")
 
 
 @query("""
-SELECT DISTINCT p_partkey AS PART_KEY, p_name AS NAME_OF_PART, CAST(p_size AS DOUBLE) AS SIZE_NO, 'small' AS source_file FROM part WHERE p_size < 25
-UNION ALL SELECT DISTINCT p_partkey, p_name, NULL, 'large' FROM part WHERE p_size >= 25""")
+SELECT p_partkey AS PART_KEY, p_name AS NAME_OF_PART, CAST(p_size AS DOUBLE) AS SIZE_NO, 'a/sheet.csv' AS source_file FROM part WHERE p_size < 25
+UNION ALL SELECT p_partkey, p_name, NULL, 'b/sheet.csv' FROM part WHERE p_size >= 25
+UNION ALL SELECT p_partkey, p_name, CAST(p_size AS DOUBLE), 'a/turned.csv' FROM part""")
 def ingest_files(spark, sf):
-    """Two folders with different headers, conformed, tagged, doubled rows dropped."""
+    """Files of different headers in one folder and of one name in two; each by its own header, tagged by path, doubled rows dropped."""
     root, p = scratch_path(spark, "drop"), table(spark, sf, "part")
-    a = p.filter(F.col("p_size") < 25).select(F.col("p_partkey").alias("Part Key"), F.col("p_name").alias("Name of Part"), F.concat(F.lit("no. "), F.col("p_size").cast("string")).alias("Size No"))
+    size = F.concat(F.lit("no. "), F.col("p_size").cast("string")).alias("Size No")
+    a = p.filter(F.col("p_size") < 25).select(F.col("p_partkey").alias("Part Key"), F.col("p_name").alias("Name of Part"), size)
     b = p.filter(F.col("p_size") >= 25).select(F.col("p_name").alias("name of part"), F.col("p_partkey").alias("part key"), F.lit("x").alias("extra"))
-    a.unionByName(a).write.csv(f"{root}/small", header=True)
-    b.write.csv(f"{root}/large", header=True)
+    turned = p.select(size, F.col("p_name").alias("Name of Part"), F.lit("99999999999999999999").alias("other no"), F.col("p_partkey").alias("Part Key"))
+    a.unionByName(a).write.csv(f"{root}/in/a/sheet.csv", header=True)
+    turned.write.csv(f"{root}/in/a/turned.csv", header=True)
+    b.write.csv(f"{root}/in/b/sheet.csv", header=True)
     schema = T.StructType([T.StructField("PART_KEY", T.LongType()), T.StructField("NAME_OF_PART", T.StringType()), T.StructField("SIZE_NO", T.DoubleType())])
-    return files.ingest_files(spark, [f"{root}/small", f"{root}/large"], schema)
+    out = files.ingest_files(spark, [f"{root}/in/a/*", f"{root}/in/b/*"], schema)
+    # Spark writes a folder of part files; the folder's name stands for the sheet's.
+    return out.withColumn("source_file", F.regexp_extract("source_file", r"/in/(.*)/[^/]*$", 1)).dropDuplicates()
 
 
 @query(ORDERS)

@@ -1,11 +1,12 @@
 """Text expressions: identifiers, names, numbers and dates found in free text.
 
 Everything is a column expression except the Unicode fold, which needs NFKD and
-therefore one Arrow-batched UDF that only ever receives the non-ASCII values.
+therefore one Arrow-batched UDF; ASCII-only values reach it as nulls.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import reduce
 
@@ -108,12 +109,26 @@ def first_number(df: DataFrame, cols: list[str], thousands: bool = False) -> Dat
 
 
 DATE_TEXT = r"(\d{1,4}[/.-]\d+[/.-]\d{1,4})"
-DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "M-d-yyyy", "M.d.yyyy", "yyyy.M.d")
+DATE_FORMATS = (
+    "yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "M-d-yyyy", "M.d.yyyy", "yyyy.M.d", "M/d/yy", "M-d-yy", "M.d.yy",
+    "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d/M/yy", "d-M-yy", "d.M.yy",
+)
+
+
+def _date_as(x: Column, form: str) -> Column:
+    """A date in one format, tried only on text of its shape; two-digit years from 69 on lie in the last century."""
+    year = "y" * form.count("y")
+    digits = {"yyyy": r"\d{4}", "yy": r"\d{2}", "M": r"\d{1,2}", "d": r"\d{1,2}"}
+    shape = "^" + "".join(digits.get(p, "[.]" if p == "." else p) for p in re.split(r"([/.-])", form)) + "$"
+    day = F.try_to_date(x, form)
+    if year == "yy":
+        day = F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day)
+    return F.when(x.rlike(shape), day)
 
 
 def date_in(c: Column, formats=DATE_FORMATS) -> Column:
-    """First date-like run in the text, read with the first format that fits; else null."""
-    return once(F.regexp_extract(c, DATE_TEXT, 1), lambda x: F.coalesce(*[F.try_to_date(x, f) for f in formats]))
+    """First date-like run in the text, read with the first format that fits (month first, then day first); else null."""
+    return once(F.regexp_extract(c, DATE_TEXT, 1), lambda x: F.coalesce(*[_date_as(x, f) for f in formats]))
 
 
 def first_date(df: DataFrame, cols: list[str], formats=DATE_FORMATS) -> DataFrame:
@@ -247,7 +262,7 @@ def phone_text(df: DataFrame, parts: list[str], out: str) -> DataFrame:
 def split_part(df: DataFrame, col: str, sep: str, i: int, out: str, as_int: bool = False) -> DataFrame:
     """The ``i``-th (from 0) piece of ``col``; ``as_int`` cuts a decimal number to its whole part."""
     piece = F.get(F.split(F.col(col), "\\Q" + sep + "\\E"), F.lit(i))
-    return df.withColumn(out, piece.try_cast("double").cast("int") if as_int else piece)
+    return df.withColumn(out, piece.try_cast("double").try_cast("int") if as_int else piece)
 
 
 def display_number(df: DataFrame, col: str, n: int, out: str | None = None) -> DataFrame:

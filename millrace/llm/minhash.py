@@ -23,13 +23,14 @@ from millrace.llm.tables import store
 from millrace.llm.textbatch import list_column, mix, shingles, slices, split_words
 
 BANDS, ROWS, BITS = 30, 5, 4  # a pair at 0.85 misses all bands with probability 2e-8, one at 0.8 with 7e-6
-HASHES = BANDS * ROWS
+HASHES = 512  # the bands use the first BANDS * ROWS
 LONGS = -(-HASHES * BITS // 64)
-SLACK = 0.2  # about six standard deviations of the estimate
-BLOCK = 4096
+SLACK = 0.08  # about five standard deviations of the estimate
+BLOCK = 1024
 _RNG = np.random.default_rng(81)
 FACTOR = (_RNG.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 SHIFT = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
+PLACES = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 SKETCH = "doc_id bigint, n_shingles bigint, set_key bigint, set_key2 bigint, signature array<bigint>, bands array<bigint>"
 SETS = "node bigint, shingles array<bigint>"
 
@@ -50,8 +51,7 @@ def pack(best: np.ndarray) -> np.ndarray:
 
 
 def band_keys(best: np.ndarray) -> np.ndarray:
-    weights = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
-    return mix((mix(best.astype(np.uint64) + weights) * weights).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64))
+    return mix((mix(best[:BANDS * ROWS].astype(np.uint64) + PLACES) * PLACES).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64))
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -181,22 +181,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     comps = store(components(links), "comps")
 
     mixed = _mixed(banded.select("bucket", "node"), comps)
-    second = mixed.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("leader"), F.min_by("comp", F.xxhash64("node", "bucket")).alias("leader_comp"))
+    second = mixed.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node")).alias("leader"), F.min_by("comp", F.xxhash64("node")).alias("leader_comp"))
     again = mixed.join(second, "bucket").where("comp <> leader_comp").select(F.least("node", "leader").alias("l"), F.greatest("node", "leader").alias("r")).distinct()
     links = store(links.unionByName(confirm(again, nodes, sets, percent)), "links")
     comps = store(components(links), "comps")
 
-    rest = store(_mixed(banded.select("bucket", "node"), comps).join(nodes.select("node", "n_shingles", "signature"), "node"), "rest")
+    rest = store(_mixed(banded.select("bucket", "node"), comps).join(nodes.select("node", "n_shingles", "signature", "bands"), "node"), "rest")
     one, two = (
-        rest.select("bucket", F.col("node").alias(s), F.col("comp").alias(f"{s}_comp"), F.col("n_shingles").alias(f"{s}_n"), F.col("signature").alias(f"{s}_signature"))
+        rest.select("bucket", *[F.col(c).alias(f"{s}_{n}" if n else s) for c, n in (("node", ""), ("comp", "comp"), ("n_shingles", "n"), ("signature", "signature"), ("bands", "bands"))])
         for s in ("l", "r")
     )
-    left = one.join(two, "bucket").where((F.col("l") < F.col("r")) & (F.col("l_comp") != F.col("r_comp")) & _alike(percent)).select("l", "r").distinct()
+    # A pair that shares several buckets is taken in the one of its first common band.
+    band = F.array_position(F.zip_with("l_bands", "r_bands", lambda a, b: a == b), True)
+    first_common = F.col("bucket") == F.xxhash64((band - 1).cast("int"), F.get("l_bands", (band - 1).cast("int")))
+    left = one.join(two, "bucket").where((F.col("l") < F.col("r")) & (F.col("l_comp") != F.col("r_comp")) & _alike(percent) & first_common).select("l", "r").distinct()
     links = links.unionByName(confirm(left, nodes, sets, percent))
     comps = store(components(links), "comps")
 
     linked = reps.join(comps, "node", "left").select(*key, F.coalesce("component_id", "node").alias("component"))
     return slim.join(linked, key, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
     )

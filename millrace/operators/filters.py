@@ -13,9 +13,6 @@ DO_NOT_USE = (
     "{DNU%", "%{%DNU%}%", "%*%DNU%*%", "%(%DNU%)%", "%DNU-%", "%-DNU%", "%- DNU", "%DNU- %",
 )
 
-# Beyond this many literals a membership test becomes a semi-join.
-IN_LIST_LIMIT = 200
-
 
 def exclude_like(df: DataFrame, col: str, patterns=DO_NOT_USE) -> DataFrame:
     """Drop rows matching any LIKE pattern; a null value is dropped too."""
@@ -23,15 +20,11 @@ def exclude_like(df: DataFrame, col: str, patterns=DO_NOT_USE) -> DataFrame:
 
 
 def is_any(df: DataFrame, col: str, values) -> DataFrame:
-    """Membership in a list (pushed down when short) or in a one-column frame."""
+    """Membership in a list, as one predicate, or in a one-column frame, as a semi-join; columns keep their order."""
     if isinstance(values, DataFrame):
         keys = values.select(F.col(values.columns[0]).alias(col)).distinct()
-        return df.join(keys, col, "left_semi")
-    values = list(values)
-    if len(values) <= IN_LIST_LIMIT:
-        return df.filter(F.col(col).isin(values))
-    keys = df.sparkSession.createDataFrame([(v,) for v in values], [col])
-    return df.join(keys, col, "left_semi")
+        return df.join(keys, col, "left_semi").select(*df.columns)
+    return df.filter(F.col(col).isin(list(values)))
 
 
 def not_equal(df: DataFrame, col: str, value) -> DataFrame:

@@ -116,7 +116,7 @@ def near_best(left: DataFrame, right: DataFrame, min_score: int) -> DataFrame:
         _probes(left, slack)
         .join(_index(right, slack), ["__size", "__d", "__i", "__piece"])
         .filter(F.expr("levenshtein(l, r, __d) >= 0"))
-        .select("l", "r")
+        .select("l", "r").distinct()  # a pair meets once for each piece it shares; it is scored once
     )
     scored = pairs.withColumn("__s", _pair_score("l", "r")).select("l", "r", "__s.score", "__s.ratio")
     return top_one(
@@ -129,7 +129,8 @@ def fuzzy_best(left: DataFrame, right: DataFrame, col: str, right_col: str | Non
                levels: tuple[int, ...] = (96,), matched: str = "matched", score: str = "score") -> DataFrame:
     """``left`` with its best right name and score; null when no name scores above ``min_score``.
 
-    Ties go to the higher unrounded ratio, then to the smaller name.
+    Ties go to the higher unrounded ratio, then to the smaller name. ``min_score`` under 80 is refused. Building the
+    result runs jobs: the distinct names and each settled level are pinned.
     """
     if min_score < LOWEST_MIN_SCORE:
         raise ValueError(f"blocking needs min_score >= {LOWEST_MIN_SCORE}")

@@ -20,7 +20,7 @@ def bucket_no(ts: Column, hours: int) -> Column:
 
 
 def _spread(df: DataFrame, first: Column, last: Column, hours: int) -> DataFrame:
-    """One copy of each row per bucket its interval touches."""
+    """One copy of each row per bucket its interval touches; callers clip open ends to what the other side can meet."""
     return df.withColumn("__bucket", F.explode(F.sequence(bucket_no(first, hours), bucket_no(last, hours))))
 
 
@@ -31,7 +31,9 @@ def interval_join(events: DataFrame, terms: DataFrame, key: str, ts: str, start:
     ``hours`` is the bucket width: about a quarter of the usual term length keeps
     the copies per term small and the pairs per bucket few.
     """
-    spread = _spread(terms.filter(F.col(start) < F.col(end)), F.col(start), F.col(end), hours)
+    low, high = events.agg(F.min(ts)).scalar(), events.agg(F.max(ts)).scalar()
+    met = terms.filter((F.col(start) < F.col(end)) & (F.col(start) <= high) & (F.col(end) > low))
+    spread = _spread(met, F.greatest(F.col(start), low), F.least(F.col(end), high), hours)
     points = events.filter(F.col(key).isNotNull()).withColumn("__bucket", bucket_no(F.col(ts), hours))
     inside = (F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))
     return points.join(spread, [key, "__bucket"]).filter(inside).drop("__bucket")
@@ -55,11 +57,18 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, a_iv: tuple[str, str], b_
     """Pairs of one key whose half-open intervals share time, with the shared stretch.
 
     Both sides are copied per bucket; a pair is kept only in the first bucket the
-    two share, so no de-duplication is needed afterwards.
+    two share, so no de-duplication is needed afterwards. That bucket holds the later
+    start, so no copies are made before the other side's first start or after its last:
+    intervals open at either end cost no more than the range of starts.
     """
     (a0, a1), (b0, b1) = (map(F.col, iv) for iv in (a_iv, b_iv))
-    left = _spread(a.filter(a0 < a1), a0, a1, hours).withColumn("__a_first", bucket_no(a0, hours))
-    right = _spread(b.filter(b0 < b1), b0, b1, hours).withColumn("__b_first", bucket_no(b0, hours))
+
+    def copies(df: DataFrame, own: tuple, other: DataFrame, start: str, mark: str) -> DataFrame:
+        low, high = other.agg(F.min(start)).scalar(), other.agg(F.max(start)).scalar()
+        met = df.filter((own[0] < own[1]) & (own[1] > low))
+        return _spread(met, F.greatest(own[0], low), F.least(own[1], F.greatest(own[0], high)), hours).withColumn(mark, bucket_no(own[0], hours))
+
+    left, right = copies(a, (a0, a1), b, b_iv[0], "__a_first"), copies(b, (b0, b1), a, a_iv[0], "__b_first")
     meet = (a0 < b1) & (a1 > b0) & (F.col("__bucket") == F.greatest("__a_first", "__b_first"))
     return (
         left.join(right, [key, "__bucket"]).filter(meet)

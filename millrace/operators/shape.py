@@ -51,7 +51,7 @@ def conform(df: DataFrame, schema: T.StructType, fold: bool = True) -> DataFrame
             col = date_in(col)
         elif is_text and isinstance(field.dataType, T.NumericType):
             col = number_in(col)
-        out.append(col.cast(field.dataType).alias(name))
+        out.append((col.try_cast(field.dataType) if is_text else col.cast(field.dataType)).alias(name))
     return source.select(*out)
 
 
@@ -59,8 +59,9 @@ def null_if(df: DataFrame, cols: list[str], sentinel) -> DataFrame:
     return df.withColumns({c: F.nullif(F.col(c), F.lit(sentinel)) for c in cols})
 
 
-def cast_all(df: DataFrame, casts: dict[str, str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
+def cast_all(df: DataFrame, casts: dict[str, str], strict: bool = False) -> DataFrame:
+    """Typed columns; a value that does not fit becomes null, or stops the job if ``strict``."""
+    return df.withColumns({c: F.col(c).cast(t) if strict else F.col(c).try_cast(t) for c, t in casts.items()})
 
 
 def constants(df: DataFrame, values: dict[str, object], types: dict[str, str] | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ REPORT = [
     ("operations", "Operation Description"), ("producer", "Producer"), ("producer_code", "Producer Code"),
     ("producer_contact", "Producer Contact Name"), ("produced_by", "Produced By"), ("status", "Status"),
     ("reason", "Reason"), ("successful_carrier", "Successful Carrier"), ("current_carrier", "Current Carrier"),
-    ("credit_rating", "CRAU Credit Rating"), ("products", "Products"), ("loss_pick", "Total Loss Pick @250"),
+    ("credit_rating", "Credit Rating"), ("products", "Products"), ("loss_pick", "Total Loss Pick @250"),
     ("wc_claim_admin", "WC Claim Admin"), ("gl_claim_admin", "GL Claim Admin"), ("al_claim_admin", "AL Claim Admin"),
     ("first_dollar_premium", "First $ Eq. Premium"), ("booked_premium", "Booked Premium"),
     ("net_written_premium", "Net Written Premium"), ("total_exposure", "Total Exposure"), ("ca_exposure", "CA Exposure"),
@@ -146,7 +146,7 @@ def account_contacts(contacts: DataFrame) -> DataFrame:
     return top_one(named, ["orgnztn_id"], order).drop("role_name")
 
 
-def exposures(requests: DataFrame, snapshots: DataFrame, kind: str = "AWCP", state: str = "CA") -> DataFrame:
+def exposures(requests: DataFrame, snapshots: DataFrame, kind: str, state: str = "CA") -> DataFrame:
     """Exposure at the newest snapshot strictly before the term start: one state, all states, percentage."""
     amount = F.coalesce("expsr_amnt", F.lit(0).cast("double"))
     sums: list[Column] = [
@@ -168,12 +168,12 @@ def account_team(roles: DataFrame, groups: DataFrame, group_name: str) -> DataFr
     return pivot_first(members, "orgnztn_id", "role_name", "last_name", TEAM_ROLES)
 
 
-def declination_report(src: dict[str, DataFrame], first, last, status: str | None = None, segment: str | None = None,
+def declination_report(src: dict[str, DataFrame], first, last, exposure_kind: str, status: str | None = None, segment: str | None = None,
                        skip_org: int | None = None, group_name: str = "ACCOUNT TEAM") -> DataFrame:
     """``src`` holds: requests, orgs, people, options, approvals, values, elements, ratings, layers, addresses,
     phones, contacts, credits, snapshots, roles, groups. The result has the columns of ``REPORT``."""
     base = base_requests(src["requests"], src["orgs"], src["people"], first, last, status, segment, skip_org)
-    rows = exposures(chosen_options(base, src["options"], src["approvals"]), src["snapshots"])
+    rows = exposures(chosen_options(base, src["options"], src["approvals"]), src["snapshots"], exposure_kind)
     address = src["addresses"].filter(F.col("city").isNotNull())
     main = src["phones"].filter(F.col("phn_usg") == "MAIN").select(
         "orgnztn_id", F.rtrim(phone_of(*[F.col(c) for c in ("phn_area", "phn_exchng", "phn_nmbr", "phn_extnsn")])).alias("main_phone")

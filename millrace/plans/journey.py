@@ -40,23 +40,23 @@ TOUCH_STATUS = {
     "Broker of Record": "other", "Audit Statement": "audit", "Audit Complete - prem adj": "audit",
     "Post Issuance - Loss Control": "other", "Audit Work Complete": "audit", "Audit Servicing": "audit",
     "Audit Due date": "audit", "Field Audit Travel": "audit", "Audit Notice": "audit",
-    "OBSC Policy Updates": "other", "Reprice Request": "other", "eConsent": "other", "Loss Payment": "other",
+    "Reprice Request": "other", "eConsent": "other", "Loss Payment": "other",
     "Disbute Bill": "bill", "Audit Scheduled": "audit", "Pre Issuance - Prep Work": "quote",
     "Reset Password": "other", "Billing": "bill", "Filings": "other", "Audit Survey": "audit",
     "Form Request": "other", "Audit Call": "audit", "Expensed": "other", "Payment Correciton": "bill",
     "E-mail Survey Delivered": "email_tp", "Reinstatements Call": "other", "Establish Bill Plan": "bill",
     "Report a Claim": "other", "VIP Service": "other", "Quote Survey": "other", "New Business": "other",
     "Post Issuance - Vendor Support": "other", "External Billing Services": "other", "Audit Uploaded": "other",
-    "OBSC CAT Notice": "other", "Directory Call": "other", "Post Issuance - Premium Finance": "other",
+    "Directory Call": "other", "Post Issuance - Premium Finance": "other",
     "Refer to UW": "other", "Settle Claim": "other", "Post Issuance - General Admin": "other",
     "Claim Servicing": "other", "Charge Off": "other", "Survey Alert": "other", "Billing Adjustment": "other",
     "Spanish Speaker Call": "other", "Missing Information": "other", "Web Inquiry Call": "other",
-    "Enroll in XactPay": "other", "Renewal Conversion": "other", "Change my Billing": "other", "Error": "other",
+    "Renewal Conversion": "other", "Change my Billing": "other", "Error": "other",
     "Technology UW": "other", "Reconciliation": "other", "Account unlock": "other", "Applications": "other",
     "Experience Mod": "other", "Coding": "other", "Invite to login": "other", "Collection Reversal": "other",
     "AMP Call": "other", "Process": "other", "Undefined Call": "other", "CRIT": "other",
     "UWA Quality Survey": "other", "Audit Documents Received": "other", "Quote": "other", "SMS Event": "other",
-    "Cancellation awaiting Audit": "other", "Payment Reversal": "other", "Growing Spectrum": "other",
+    "Cancellation awaiting Audit": "other", "Payment Reversal": "other",
     "Risk Engineering": "other", "Undefined": "other", "Evaluate": "other", "Alert": "other",
     "Communication": "other", "Commission": "other", "Agency Appointments": "other",
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +14,10 @@ from millrace.operators.shape import cast_all, conform, normalise_names
 
 
 def read_csv(spark: SparkSession, path, schema=None, header: bool = True, sep: str = ",", quote: str = '"',
-             escape: str = "\\", mode: str = "PERMISSIVE") -> DataFrame:
+             escape: str = "\\", mode: str = "PERMISSIVE", multi_line: bool = False) -> DataFrame:
+    """``multi_line`` reads line breaks inside quotes; such files are not split."""
     reader = spark.read.option("header", header).option("sep", sep).option("quote", quote).option("escape", escape)
-    reader = reader.option("mode", mode).option("ignoreLeadingWhiteSpace", False)
+    reader = reader.option("mode", mode).option("ignoreLeadingWhiteSpace", False).option("multiLine", multi_line)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
@@ -28,19 +31,23 @@ def read_json(spark: SparkSession, path, schema, on_bad: str = "drop") -> DataFr
 
 
 def read_fixed(spark: SparkSession, path, layout: list[tuple[str, int, int, str]]) -> DataFrame:
-    """Fixed-width lines; ``layout`` has (name, start from 1, width, type), blanks around a field are cut."""
+    """Fixed-width lines; ``layout`` has (name, start from 1, width, type), blanks around a field are cut.
+
+    Text that does not fit its type is null.
+    """
     lines = spark.read.text(path)
     fields = [
         (F.trim(F.substring("value", start, width)) if t == "string"
-         else F.nullif(F.trim(F.substring("value", start, width)), F.lit("")).cast(t)).alias(name)
+         else F.nullif(F.trim(F.substring("value", start, width)), F.lit("")).try_cast(t)).alias(name)
         for name, start, width, t in layout
     ]
     return lines.select(*fields)
 
 
 def write_fixed(df: DataFrame, path: str, layout: list[tuple[str, int, int, str]]) -> None:
-    """Lines in the layout ``read_fixed`` reads; fields must follow each other without gaps."""
-    cells = [F.rpad(F.coalesce(F.col(n).cast("string"), F.lit("")), w, " ") for n, _, w, _ in layout]
+    """Lines in the layout ``read_fixed`` reads; fields must follow each other without gaps. A value longer than its field is an error."""
+    texts = [(F.coalesce(F.col(n).cast("string"), F.lit("")), n, w) for n, _, w, _ in layout]
+    cells = [F.when(F.char_length(x) > w, F.raise_error(F.lit(f"{n} is longer than {w}"))).otherwise(F.rpad(x, w, " ")) for x, n, w in texts]
     df.select(F.concat(*cells).alias("value")).write.mode("overwrite").text(path)
 
 
@@ -57,8 +64,8 @@ def write_partitioned(df: DataFrame, path: str, cols: list[str], fmt: str = "orc
     laid.write.format(fmt).mode(mode).options(**options).partitionBy(*cols).save(path)
 
 
-def to_columnar(df: DataFrame, casts: dict[str, str], parts: list[str], path: str, fmt: str = "orc") -> None:
-    write_partitioned(cast_all(df, casts), path, parts, fmt)
+def to_columnar(df: DataFrame, casts: dict[str, str], parts: list[str], path: str, fmt: str = "orc", strict: bool = False) -> None:
+    write_partitioned(cast_all(df, casts, strict), path, parts, fmt)
 
 
 def overwrite_partitions(df: DataFrame, path: str, cols: list[str], fmt: str = "orc") -> None:
@@ -72,48 +79,51 @@ def write_report(df: DataFrame, cols: list[tuple[str, str]], path: str, sep: str
     df.select(*[F.col(c).alias(title) for c, title in cols]).write.mode("overwrite").csv(path, sep=sep, header=True)
 
 
-def export_csv(df: DataFrame, path: str, by: str | None = None, single: bool = False, max_rows: int = 1_000_000) -> None:
-    """CSV with header: one folder per value of ``by``; or one file, refused above ``max_rows`` rows."""
+def export_csv(df: DataFrame, path: str, by: str | None = None, single: bool = False) -> None:
+    """CSV with header: one folder per value of ``by``; or a folder of files; or, for a frame known to be small, one file.
+
+    ``single`` brings the finished rows to one writing task; the work before it stays spread.
+    """
     if by:
         write_partitioned(df.withColumn(f"{by}_part", F.col(by)), path, [f"{by}_part"], "csv", header=True)
         return
-    if single:
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows do not belong in one file")
-        df = df.coalesce(1)
-    df.write.mode("overwrite").csv(path, header=True)
+    (df.repartition(1) if single else df).write.mode("overwrite").csv(path, header=True)
 
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def ingest_files(spark: SparkSession, path, schema: T.StructType, sep: str = ",", source_col: str = "source_file") -> DataFrame:
-    """Many delimited files with headers: columns matched by normalised name, typed, tagged, exact duplicates dropped.
+def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, header): the first line of every file under ``paths``, read by the executors."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    return lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+
+
+def ingest_files(spark: SparkSession, path, schema: T.StructType, sep: str = ",", source_col: str = "source_file", multi_line: bool = False) -> DataFrame:
+    """Many delimited files with headers: columns matched by normalised name, typed, tagged with the file's path, exact duplicates dropped.
 
-    ``path`` is a list of (file or folder, …) read one by one because headers may
-    differ; rows that do not parse and unreadable files are skipped.
+    Every file is read by its own header: files are grouped by it and each group is one read, so the plan grows with the number of
+    different headers, not of files. ``path`` is a file or folder or a list of them; rows that do not parse and unreadable files are skipped.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    groups = file_headers(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
     frames = []
-    for p in paths:
+    for group in groups:
+        names = next(csv.reader([group["header"]], delimiter=sep), [])
         raw = (
-            spark.read.option("header", True).option("sep", sep).option("mode", "DROPMALFORMED")
-            .option("ignoreCorruptFiles", True).csv(p)
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).option("header", True).option("sep", sep)
+            .option("mode", "DROPMALFORMED").option("enforceSchema", True).option("ignoreCorruptFiles", True).option("multiLine", multi_line).csv([unquote(f) for f in group["files"]])
         )
-        named = normalise_names(raw)
-        frames.append(conform(named, schema).withColumn(source_col, F.lit(p.rstrip("/").rsplit("/", 1)[-1])))
-    whole = reduce(lambda a, b: a.unionByName(b), frames)
-    return whole.dropDuplicates()
+        tagged = normalise_names(raw).withColumn("__file", F.col("_metadata.file_path"))
+        frames.append(conform(tagged, T.StructType([*schema.fields, T.StructField("__file", T.StringType())])).withColumnRenamed("__file", source_col))
+    if not frames:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(source_col, T.StringType())]))
+    return reduce(lambda a, b: a.unionByName(b), frames).dropDuplicates()
 
 
 def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128, fmt: str = "parquet", parts: list[str] = ()) -> None:
-    """Rewrite a folder of many small files as few larger ones; sizes follow ``target_mb``."""
-    df = spark.read.format(fmt).load(path)
-    size = f"{target_mb}MB"
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
-    try:
-        df.hint("rebalance", *parts).write.format(fmt).mode("overwrite").partitionBy(*parts).save(out)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    """Rewrite a folder of many small files as few larger ones of about ``target_mb``, from the summed length of the files; session settings stay."""
+    length = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.sum("length")).first()[0] or 0
+    count = max(1, -(-length // (target_mb << 20)))
+    spark.read.format(fmt).load(path).hint("rebalance", int(count), *parts).write.format(fmt).mode("overwrite").partitionBy(*parts).save(out)

@@ -61,9 +61,9 @@ def append(df: DataFrame, schema: T.StructType, path: str, fmt: str = "parquet")
 def incremental(df: DataFrame, target: DataFrame, ts_col: str, lookback_days: int = 0, target_col: str | None = None) -> DataFrame:
     """Rows of ``df`` after the newest ``ts_col`` in ``target`` minus ``lookback_days``; all rows when target is empty.
 
-    The mark is a one-row aggregate, so joining it to every row is a broadcast of one value.
+    The mark is a scalar subquery, so the comparison reaches the scan of ``df``. An empty target's mark lies before every value.
     """
-    mark = target.agg(F.max(target_col or ts_col).alias("__mark"))
-    low = F.date_sub(F.col("__mark"), lookback_days) if lookback_days else F.col("__mark")
-    keep = F.col("__mark").isNull() | (F.col(ts_col) > low)
-    return df.join(F.broadcast(mark)).filter(keep).drop("__mark")
+    mark = F.max(target_col or ts_col)
+    low = F.date_sub(mark, lookback_days) if lookback_days else mark
+    first = F.lit("0001-01-01").cast(df.schema[ts_col].dataType)
+    return df.filter(F.col(ts_col) > target.agg(F.coalesce(low, first)).scalar())

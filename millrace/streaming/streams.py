@@ -30,7 +30,7 @@ def parse_sample(df: DataFrame, member: str = "member", epoch_ms: str = "score")
     cpu, mem = (F.get(parts, F.lit(i)).try_cast("double") for i in (0, 1))
     return df.select(
         F.timestamp_millis(epoch_ms).alias("ts"), cpu.alias("cpu"), mem.alias("mem"),
-        cpu.cast("int").alias("cpu_whole"), mem.cast("int").alias("mem_whole"),
+        cpu.try_cast("int").alias("cpu_whole"), mem.try_cast("int").alias("mem_whole"),
     )
 
 
@@ -56,9 +56,8 @@ def trailing(df: DataFrame, ts: str, keys: list[str], value: str, length: str =
 
 def trailing_rows(df: DataFrame, ts: str, seconds: int = 300, now=None) -> DataFrame:
     """The samples of the last ``seconds`` before ``now`` (default: the newest sample), both ends included."""
-    mark = df.agg(F.max(ts).alias("__now")) if now is None else df.sparkSession.range(1).select(F.lit(now).cast("timestamp").alias("__now"))
-    low = F.col("__now") - F.make_dt_interval(secs=F.lit(seconds))
-    return df.join(F.broadcast(mark)).filter((F.col(ts) >= low) & (F.col(ts) <= F.col("__now"))).drop("__now")
+    mark = df.agg(F.max(ts)).scalar() if now is None else F.lit(now).cast("timestamp")
+    return df.filter((F.col(ts) >= mark - F.make_dt_interval(secs=F.lit(seconds))) & (F.col(ts) <= mark))
 
 
 def latest_value(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:

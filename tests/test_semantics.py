@@ -216,7 +216,7 @@ def test_tier_rules(spark):
 
     assert tier(liab_prm=29999.0) == ("LOW", "Less than $30K liability premium")
     assert tier(liab_prm=30000.0) == ("NOT LOW", "Greater than $30K liability premium")
-    assert tier(writing_company_cd="Z") == ("NOT APPLICABLE", "Sentinel or Legacy writing company")
+    assert tier(writing_company_cd="Z") == ("NOT APPLICABLE", "Writing company not scored")
     assert tier(writing_company_cd="Z", n_vehicles=0, doc_prm=2999.0)[0] == "LOW"
     assert tier(n_vehicles=0, doc_prm=3000.0) == ("NOT LOW", "HNO only, greater than $3K total premium")
     assert tier(n_part_support=1) == ("NOT LOW", "Partially supported")
