@@ -45,10 +45,10 @@ def weighted_cells(viewing: DataFrame, universe: DataFrame, actives: DataFrame,
     """
     per_device = viewing.groupBy(*cells, *by, device).agg(F.sum(F.col(seconds).cast("long")).alias("__watch"))
     if any_of:
-        per_device = per_device.withColumn(any_of, F.explode(F.array(F.col(any_of), F.lit(ANY_CHANNEL))))
-    raw = per_device.groupBy(*cells, *by).agg(
-        F.count_distinct(device).alias("raw_reach"), F.sum("__watch").alias("raw_watchtime")
-    )
+        both = per_device.withColumn(any_of, F.explode(F.array(F.col(any_of), F.lit(ANY_CHANNEL))))
+        per_device = both.groupBy(*cells, *by, device).agg(F.sum("__watch").alias("__watch"))
+    # A device has one row per group here, so counting rows counts devices.
+    raw = per_device.groupBy(*cells, *by).agg(F.count(device).alias("raw_reach"), F.sum("__watch").alias("raw_watchtime"))
     weight = F.try_divide(F.col("universe").cast("double"), F.col("active_pop").cast("double"))
     weights = universe.join(actives, cells).select(*cells, weight.alias("__weight"))
     return (

@@ -15,6 +15,7 @@ from millrace.operators.filters import exclude_like, optional_filter
 from millrace.operators.joins import fallback_lookup, first_lookup
 from millrace.operators.ranges import asof_latest
 from millrace.operators.ranking import priority_of, top_one
+from millrace.session import pin
 
 # Element numbers of the attribute store behind each measure.
 SUMS = {
@@ -171,7 +172,10 @@ def account_team(roles: DataFrame, groups: DataFrame, group_name: str) -> DataFr
 def declination_report(src: dict[str, DataFrame], first, last, exposure_kind: str, status: str | None = None, segment: str | None = None,
                        skip_org: int | None = None, group_name: str = "ACCOUNT TEAM") -> DataFrame:
     """``src`` holds: requests, orgs, people, options, approvals, values, elements, ratings, layers, addresses,
-    phones, contacts, credits, snapshots, roles, groups. The result has the columns of ``REPORT``."""
+    phones, contacts, credits, snapshots, roles, groups. The result has the columns of ``REPORT``.
+
+    The chosen requests are pinned first (which runs jobs); every other frame is cut to their options, accounts and requests before it is aggregated.
+    """
     base = base_requests(src["requests"], src["orgs"], src["people"], first, last, status, segment, skip_org)
     rows = exposures(chosen_options(base, src["options"], src["approvals"]), src["snapshots"], exposure_kind)
     address = src["addresses"].filter(F.col("city").isNotNull())
@@ -180,15 +184,19 @@ def declination_report(src: dict[str, DataFrame], first, last, exposure_kind: st
     )
     rated = src["credits"].filter(F.col("review_status") == "COMPLETE").select("cnsmr_rqst_id", "review_id", "credit_rating")
     by_org = F.col("cnsmr_orgnztn_id").alias("orgnztn_id")
-    rows = rows.select("*", by_org)
-    rows = rows.join(option_measures(src["values"], src["elements"]), "smmry_optn_id", "left")
-    rows = rows.join(current_carriers(src["ratings"]), ["cnsmr_rqst_id", "smmry_optn_id"], "left")
-    rows = rows.join(list_values(src["layers"], "wrksht_optn_id", "prdct_shrt_name", "products"), "wrksht_optn_id", "left")
+    rows = pin(rows.select("*", by_org))
+
+    def asked(name: str, key: str) -> DataFrame:
+        return src[name].join(rows.select(key).distinct(), key, "left_semi").select(*src[name].columns)
+
+    rows = rows.join(option_measures(asked("values", "smmry_optn_id"), src["elements"]), "smmry_optn_id", "left")
+    rows = rows.join(current_carriers(asked("ratings", "cnsmr_rqst_id")), ["cnsmr_rqst_id", "smmry_optn_id"], "left")
+    rows = rows.join(list_values(asked("layers", "wrksht_optn_id"), "wrksht_optn_id", "prdct_shrt_name", "products"), "wrksht_optn_id", "left")
     rows = first_lookup(rows, address, "orgnztn_id", [F.col(c).asc_nulls_last() for c in ("addrss_id", "address_1")])
     rows = first_lookup(rows, main, "orgnztn_id", [F.col("main_phone").asc()])
-    rows = rows.join(account_contacts(src["contacts"]), "orgnztn_id", "left")
+    rows = rows.join(account_contacts(asked("contacts", "orgnztn_id")), "orgnztn_id", "left")
     rows = first_lookup(rows, rated, "cnsmr_rqst_id", [F.col("review_id").desc()])
-    rows = rows.join(account_team(src["roles"], src["groups"], group_name), "orgnztn_id", "left")
+    rows = rows.join(account_team(asked("roles", "orgnztn_id"), src["groups"], group_name), "orgnztn_id", "left")
     rows = rows.withColumns({"eff_date": F.date_format("term_effctv_date", "MM/dd/yyyy"), "status": F.col("stts_name")})
     return rows.select("cnsmr_rqst_id", *[
         F.rtrim(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in ((c, dict(rows.dtypes)[c]) for c, _ in REPORT)
