@@ -29,7 +29,7 @@ def letter_vectors(points: np.ndarray) -> np.ndarray:
 
 
 def bundles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(texts, WIDTH) bundles and the number of letters of each text. Anything but letters is one space; a text is framed by spaces."""
+    """(texts, WIDTH) bundles and the number of letters of each text. Anything but letters is one space; a text is framed by spaces; trigrams have a letter in the middle."""
     joined = "\x00".join((t or "").replace("\x00", " ") for t in texts).lower() + "\x00"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     kinds, index = np.unique(points, return_inverse=True) if points.max() >= 1 << 16 else _by_table(points)

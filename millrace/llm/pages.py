@@ -157,18 +157,20 @@ def nearest(page: Page, before: Page | None, after: Page | None) -> Page | None:
 
 
 def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages in order of host and path; a page is done when the next one is known. Three pages are held at a time."""
-    before: Page | None = None
+    """Pages in order of host and path; a page is done when the next one is known. Four pages are held at a time."""
+    before: Page | None = None  # the page before
+    other: Page | None = None  # the last one before it with other lines
     now: Page | None = None
     out: list[tuple] = []
 
     def finish(after: Page | None) -> None:
-        nonlocal before
+        nonlocal before, other
         if now is not None:
-            text = main_text(now, nearest(now, before, after))
+            if before is not None and before.lines != now.lines:
+                other = before
+            text = main_text(now, nearest(now, other, after))
             out.append((now.page_id, now.url, text, len(text)))
-            if before is None or before.host != now.host or before.lines != now.lines:
-                before = now
+            before = now
 
     def table() -> pa.RecordBatch:
         made = pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
@@ -191,7 +193,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars.
 
     Null and empty html give the empty text. Pages without a usable URL stand together as one nameless host. A page alone on its host, or among
-    copies of itself, is compared with none. Repeated rows are extracted each. Other columns are ignored. Neighbours are looked for inside a range
+    copies of itself, is compared with none, and so are copies that lead their host, but the last. Repeated rows are extracted each. Other columns are ignored. Neighbours are looked for inside a range
     partition of (host, path), so a host of any size is spread over tasks.
     """
     own = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
