@@ -17,7 +17,7 @@ from millrace.llm.tables import fold, labelled_sample
 from millrace.llm.textbatch import slices, span_hasher, split_letters
 
 FOLDS, HELD_OUT = 5, 0
-PER_CLASS = 2000  # labelled documents of each class used for training, at most
+PER_CLASS = 1500  # labelled documents of each class used for training, at most
 BUCKETS, WIDTH, GRAMS = 1 << 18, 8, (3, 4, 5)
 STEPS, RATE, SCALE, DECAY = 120, 0.05, 40.0, 1e-4
 LEAST_TEXTS = 40  # training texts a bucket must occur in; fewer if the sample is under 4,000
@@ -49,18 +49,21 @@ def train(sample: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
         share = np.mean([y for _, y in sample]) if sample else 0.0
         return np.zeros((BUCKETS, 2)), np.array([0.0, 4.0 if share == 1 else -4.0])
     keys, weights, rows, base = [], [], [], 0
-    for a in range(0, len(sample), 200):
-        bucket, weight, row, n = subwords(pa.array([t for t, _ in sample[a:a + 200]], pa.string()))
+    for a in range(0, len(sample), 100):
+        bucket, weight, row, n = subwords(pa.array([t for t, _ in sample[a:a + 100]], pa.string()))
         key, place = np.unique(row * BUCKETS + bucket, return_inverse=True)
-        keys.append(key % BUCKETS)
-        rows.append(key // BUCKETS + base)
-        weights.append(np.bincount(place, weight))
+        keys.append((key % BUCKETS).astype(np.int32))
+        rows.append((key // BUCKETS + base).astype(np.int32))
+        weights.append((np.bincount(place, weight) * SCALE).astype(np.float32))
         base += n
-    col, row, value = np.concatenate(keys), np.concatenate(rows), np.concatenate(weights) * SCALE
+    col, row, value = np.concatenate(keys), np.concatenate(rows), np.concatenate(weights)
     spread = np.bincount(col, minlength=BUCKETS)  # texts that have the bucket
     keep = spread[col] >= min(LEAST_TEXTS, 1 + len(sample) // 100)
     col, row, value = col[keep], row[keep], value[keep]
-    used, col = np.unique(col, return_inverse=True)
+    used = np.unique(col)
+    number = np.zeros(BUCKETS, np.int32)
+    number[used] = np.arange(len(used))
+    col = number[col]
     y = np.array([y for _, y in sample])
     target = np.stack([1 - y, y], axis=1).astype(float)
     importance = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
