@@ -43,7 +43,7 @@ def stream_sessions(spark, sf):
 
 @query("SELECT user_id, max(ts) AS last_ts, arg_max(value, (ts, value)) AS last_value FROM events GROUP BY 1")
 def stream_latest(spark, sf):
-    return _wall(streams.drain_table(streams.latest_value(_events(spark, sf), "user_id", "ts", "value"), "latest"))
+    return _wall(streams.drain_table(streams.latest_value(_events(spark, sf), "user_id", "ts", "value"), "latest", ["user_id"]))
 
 
 @query("""
@@ -74,7 +74,7 @@ def stream_dedup(spark, sf):
 @query("SELECT CAST(user_id AS VARCHAR) || ':' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS member, max(ts) AS ts FROM events GROUP BY 1")
 def stream_upsert(spark, sf):
     e = _events(spark, sf).select(F.concat_ws(":", F.col("user_id").cast("string"), F.floor("value").cast("string")).alias("member"), "ts")
-    return _wall(streams.drain_table(streams.upsert_member(e, "member", "ts"), "upsert"))
+    return _wall(streams.drain_table(streams.upsert_member(e, "member", "ts"), "upsert", ["member"]))
 
 
 @query("""

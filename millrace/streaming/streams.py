@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,12 +42,17 @@ def trailing(df: DataFrame, ts: str, keys: list[str], value: str, length: str =
              delay: str = "10 seconds") -> DataFrame:
     """History of the last ``length``, renewed every ``slide``: samples, sum, low and high per sliding window.
 
-    Works on a stream (with watermark) and on a batch frame (watermark ignored).
+    Two levels: samples are summed into spans of one ``slide`` first, and only those, one per series and span, are copied
+    into the windows that hold them; ``length`` is a multiple of ``slide``. Works on a stream (with watermark) and on a
+    batch frame (watermark ignored).
     """
     marked = df.withWatermark(ts, delay) if df.isStreaming else df
+    spans = marked.groupBy(F.window(ts, slide).alias("__p"), *keys).agg(
+        F.count("*").alias("samples"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high")
+    )
     return (
-        marked.groupBy(F.window(ts, length, slide).alias("__w"), *keys)
-        .agg(F.count("*").alias("samples"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high"))
+        spans.groupBy(F.window("__p" if df.isStreaming else F.col("__p.start"), length, slide).alias("__w"), *keys)
+        .agg(F.sum("samples").alias("samples"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"))
         .select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *keys, "samples", "total", "low", "high")
     )
 
@@ -110,17 +113,23 @@ def drain(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(out)
 
 
-def drain_table(df: DataFrame, label: str, finish: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
-    """Run a complete-mode stream over everything available and return its final table."""
+def drain_table(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    """Run an update-mode stream over everything available and return the newest row of each key.
+
+    A batch writes only the rows it changed, into a folder of its number: a batch run again replaces its own folder, and what
+    readers see is never taken away.
+    """
     spark = df.sparkSession
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def publish(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     query = (
-        df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-        .foreachBatch(replace).trigger(availableNow=True).start()
+        df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+        .foreachBatch(publish).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return finish(spark.read.schema(df.schema).parquet(out))
+    changes = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), "batch").alias("__row"))
+    return newest.select("__row.*")
