@@ -6,7 +6,8 @@ number of equal nibbles, corrected for chance collisions. Candidates that may re
 
 No bucket is expanded into all its pairs: its members are compared with one leader, connected, compared with a second leader where
 a bucket still holds several components, and only members of different components that are left meet pairwise, estimate included in
-the join. Pairs inside a component cannot change the result, so no link between different texts that matters is lost.
+the join; of the buckets a pair shares, only that of its first common band yields it. Pairs inside a component cannot change the result,
+so no link between different texts that matters is lost.
 """
 
 from __future__ import annotations
