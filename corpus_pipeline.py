@@ -22,10 +22,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest doc_id of each group; of rows equal in doc_id and text, one. Rows with a null doc_id stay."""
     judged = minhash.near_duplicates(docs, SIMILARITY)
-    named = docs.where("doc_id is not null")
-    stay = named.join(judged.where("kept and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    once = Window.partitionBy("doc_id", F.xxhash64("text"), F.md5("text")).orderBy("doc_id")
-    stay = stay.withColumn("_copy", F.row_number().over(once)).where("_copy = 1").select(*docs.columns)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("code"), F.md5("text").alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    stay = rows.join(judged.where("kept and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    once = Window.partitionBy("doc_id", "code", "digest").orderBy("doc_id")
+    stay = stay.withColumn("copy", F.row_number().over(once)).where("copy = 1").select("row.*")
     return stay.unionByName(docs.where("doc_id is null"))
 
 

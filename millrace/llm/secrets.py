@@ -117,11 +117,12 @@ def _masked(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every found span replaced by [SECRET] and n_chars, if there, following; other rows and columns unchanged."""
-    spans = scan(docs).where(F.size("base") + F.size("linked") > 0).select("row_key", F.sort_array(F.concat("base", "linked")).alias("_spans")).dropDuplicates(["row_key"])
-    joined = docs.withColumn("_row_key", row_key()).join(spans.withColumnRenamed("row_key", "_row_key"), "_row_key", "left")
-    hit = F.when(F.col("_spans").isNotNull(), F.col("text"))
-    clean = joined.withColumn("_new", _masked(hit, F.transform("_spans", lambda s: s["start"]), F.transform("_spans", lambda s: s["stop"])))
-    clean = clean.withColumn("text", F.coalesce("_new", "text"))
+    spans = scan(docs).where(F.size("base") + F.size("linked") > 0).select("row_key", F.sort_array(F.concat("base", "linked")).alias("spans")).dropDuplicates(["row_key"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("row_key"))  # whole rows apart: no name can clash
+    joined = rows.join(spans, "row_key", "left").select("row", "spans")
+    hit = F.when(F.col("spans").isNotNull(), F.col("row.text"))
+    clean = joined.withColumn("masked", _masked(hit, F.transform("spans", lambda s: s["start"]), F.transform("spans", lambda s: s["stop"])))
+    new = {"text": F.coalesce("masked", "row.text")}
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("_new").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.when(F.col("masked").isNotNull(), F.char_length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return clean.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
