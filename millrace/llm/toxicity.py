@@ -19,7 +19,7 @@ from millrace.llm.textbatch import slices, span_hasher, split_letters
 FOLDS, HELD_OUT = 5, 0
 PER_CLASS = 1500  # labelled documents of each class used for training, at most
 BUCKETS, WIDTH, GRAMS = 1 << 18, 8, (3, 4, 5)
-STEPS, RATE, SCALE, DECAY = 120, 0.05, 40.0, 1e-4
+STEPS, RATE, SCALE, DECAY = 120, 0.05, 120.0, 1e-4
 LEAST_TEXTS = 40  # training texts a bucket must occur in; fewer if the sample is under 4,000
 
 
