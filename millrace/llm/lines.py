@@ -20,6 +20,7 @@ from millrace.llm.textbatch import LETTER, SPACE, flat, slices, span_hasher, spa
 
 FOLDS, HELD_OUT = 3, 1
 PER_CLASS = 1500  # labelled documents of each class used for training, at most
+SAMPLE_ROWS = 50  # training texts whose features are made at once
 TRAIN_LINES = 40  # training chains are runs of so many lines; scoring uses whole documents
 STEPS, RATE, DECAY = 150, 0.05, 1e-3
 CLASSES = {
@@ -135,7 +136,11 @@ def train(sample: list[tuple[str, int]], prior: float) -> Model:
     flat_model = Model(np.zeros(3 * OWN), np.ones(3 * OWN), np.zeros(3 * OWN), np.zeros((2, 2)), (1.0, float(np.log(prior / (1 - prior)))))
     if len({y for _, y in sample}) < 2:
         return flat_model
-    whole = lines_of(pa.array([t for t, _ in sample], pa.string()))
+    parts = [lines_of(pa.array([t for t, _ in sample[a:a + SAMPLE_ROWS]], pa.string())) for a in range(0, len(sample), SAMPLE_ROWS)]
+    ahead = np.cumsum([0, *(p.bounds[-1] for p in parts)])
+    whole = Lines(
+        np.concatenate([p.features for p in parts]), np.concatenate([p.weight for p in parts]), np.r_[np.concatenate([p.bounds[:-1] + n for p, n in zip(parts, ahead, strict=False)]), ahead[-1]],
+    )
     y = np.array([y for _, y in sample], float)
     row = np.repeat(np.arange(len(sample)), np.diff(whole.bounds))
     if not len(row):
