@@ -230,7 +230,7 @@ def test_unmapped_touch_keeps_null_status(spark):
     row = journey.journey_features(ev, terms, touches).first()
     assert (row.no_of_cnts, row.no_of_email_cnts, row.no_of_web_cnts, row.no_of_unknown_cnts, row.no_of_weekday_cnts) == (2, 1, 1, None, None)
     assert journey.journey_features(ev, terms, touches, fill_status=True).first().no_of_unknown_cnts == 2
-    assert touches.count() == 121
+    assert touches.count() == 117
 
 
 def test_programme_ratios_on_published_row(spark):
