@@ -455,6 +455,25 @@ def test_tokenizing_in_parts():
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [encode(t) for t in texts]
 
 
+def test_added_tokens(spark):
+    """An added token of the JSON form is one id wherever it stands, as in a plain call of that form."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a b{end} c d", end, f"{end}{end}", f" {end}  {end}\n\n x", f"a  {end}", f"'{end}s don'{end}t", f"<|endof{end}text|>", "<|endoftext|", f"é\u3000{end}\u3000 é", f"{LONG[:40000]}{end}{LONG}"]
+    plain = [Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(t, add_special_tokens=False).ids for t in texts]
+    assert plain[0] == [64, 275, 50256, 269, 288]
+    ids, bounds = packing.tokenize(pa.array(texts), packing.default_vocabulary())
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == plain
+    want = {i: [*x, 1] for i, x in enumerate(plain)}
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    for r in got:
+        x = want[r["doc_id"]]
+        assert r["doc_tokens"] == len(x) and r["ids_crc32"] == zlib.crc32(struct.pack(f"<{r['length']}I", *x[r["start"]:r["start"] + r["length"]]))
+    assert sum(r["length"] for r in got) == sum(map(len, want.values()))
+
+
 def test_packing_prefers_lexical_neighbours():
     a, b = np.arange(2, 600), np.arange(5000, 5600)
     tails = [a, b, a[::-1].copy(), b[::-1].copy()]
