@@ -7,15 +7,20 @@ an article or main element stay even if another page has them too, lines inside
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import pin
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
 LABEL = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+|[0-9]+")
@@ -139,8 +144,8 @@ def shared(mine: list[str], other: list[str]) -> list[bool]:
     return flags
 
 
-def main_text(page: Page, neighbour: Page | None) -> str:
-    common = shared(page.lines, neighbour.lines) if neighbour else [False] * len(page.lines)
+def main_text(page: Page, common: list[bool]) -> str:
+    """``common`` says which lines the neighbour has too."""
     if MAIN in page.zones:
         return "\n".join(t for t, z in zip(page.lines, page.zones, strict=True) if z == MAIN)
     return "\n".join(t for t, z, c in zip(page.lines, page.zones, common, strict=True) if z == OPEN and not c)
@@ -151,26 +156,104 @@ def _prefix(a: str, b: str) -> int:
 
 
 def nearest(page: Page, before: Page | None, after: Page | None) -> Page | None:
-    """Of the pages around it, the one of the same host with other lines and the longest common path prefix; the earlier one if equal."""
-    fit = [p for p in (before, after) if p and p.host == page.host and p.lines != page.lines]
+    """Of the pages around its run of copies, the one of the same host and the longest common path prefix; the earlier one if equal."""
+    fit = [p for p in (before, after) if p and p.host == page.host]
     return max(fit, key=lambda p: _prefix(p.path, page.path)) if fit else None
 
 
+BODY = "page_id bigint, url string, host string, path string, code binary, body binary"
+EDGE = "struct<host: string, path: string, code: binary, body: binary>"
+EDGE_ARROW = pa.struct([("host", pa.string()), ("path", pa.string()), ("code", pa.binary()), ("body", pa.binary())])
+KEEP = ("host", "path", "code", "body")
+
+
+def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page the digest of its lines, equal for copies, and the packed lines and zones."""
+    for batch in batches:
+        code, body = [], []
+        for source in batch.column("html").to_pylist():
+            lines, zones = blocks(source or "")
+            text = "\n".join(lines).encode()  # no line holds a line break
+            code.append(hashlib.sha256(text).digest()[:16])
+            body.append(zlib.compress(bytes(zones) + b"\n" + text))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "path")), pa.array(code, pa.binary()), pa.array(body, pa.binary())], ["page_id", "url", "host", "path", "code", "body"])
+
+
+def unpack(body: bytes) -> tuple[list[str], list[int]]:
+    raw = zlib.decompress(body)
+    zones, text = raw.split(b"\n", 1)  # a zone is a byte below 10
+    return text.decode().split("\n") if zones else [], list(zones)
+
+
+@dataclass
+class Side:
+    """Outermost page of a stretch of pages in order, and the first page from there, on the same host, with other lines."""
+
+    near: dict | None = None
+    far: dict | None = None
+
+    def fit(self, page: dict) -> dict | None:
+        return next((p for p in (self.near, self.far) if p and p["host"] == page["host"] and p["code"] != page["code"]), None)
+
+    def add(self, page: dict) -> None:
+        self.far, self.near = self.fit(page), page
+
+
+def edge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First and last page of a partition, and next to each the nearest of the same host with other lines."""
+    first, last = Side(), Side()
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in KEEP]
+        for row in zip(*columns, strict=True):
+            page = dict(zip(KEEP, row, strict=True))
+            if first.near is None:
+                first.near = page
+            elif first.far is None and page["host"] == first.near["host"] and page["code"] != first.near["code"]:
+                first.far = page
+            last.add(page)
+    if first.near is not None:
+        number = TaskContext.get().partitionId()
+        sides = [first.near, first.far, last.near, last.far]
+        yield pa.RecordBatch.from_pylist([{"part": number, "sides": sides}], pa.schema([("part", pa.int32()), ("sides", pa.list_(EDGE_ARROW))]))
+
+
+def carry_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each partition the pages before and after it that its first and last pages are compared with; four pages a partition come in."""
+    rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["part"])
+    out = {r["part"]: [None, None] for r in rows}
+    for at, order in ((0, rows), (1, rows[::-1])):
+        side = Side()
+        for r in order:
+            inner, _, outer, outer_far = r["sides"] if at == 0 else r["sides"][2:] + r["sides"][:2]
+            out[r["part"]][at] = side.fit(inner)
+            # a partition of one host and one text leaves what lay before it in reach
+            side = Side(outer, outer_far or side.fit(outer))
+    for part, (before, after) in out.items():
+        yield pa.RecordBatch.from_pylist([{"part": part, "before": before, "after": after}], pa.schema([("part", pa.int32()), ("before", EDGE_ARROW), ("after", EDGE_ARROW)]))
+
+
 def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages in order of host and path; a page is done when the next one is known. Four pages are held at a time."""
-    before: Page | None = None  # the page before
-    other: Page | None = None  # the last one before it with other lines
-    now: Page | None = None
+    """Pages in order of host and path. A run of copies is done when the page after it is known; only its pages' names and zones are held."""
+    before: Page | None = None  # the last page before the run
+    run: list[Page] = []  # copies in a row; their lines are one list
+    code, end, started = None, None, False
     out: list[tuple] = []
 
+    def edge(row: dict | None) -> Page | None:
+        return Page(None, None, row["host"], row["path"], *unpack(row["body"])) if row else None
+
     def finish(after: Page | None) -> None:
-        nonlocal before, other
-        if now is not None:
-            if before is not None and before.lines != now.lines:
-                other = before
-            text = main_text(now, nearest(now, other, after))
-            out.append((now.page_id, now.url, text, len(text)))
-            before = now
+        nonlocal before
+        known: dict[int, list[bool]] = {}
+        for page in run:
+            other = nearest(page, before, after)
+            if other is not None and id(other) not in known:
+                known[id(other)] = shared(page.lines, other.lines)
+            text = main_text(page, known[id(other)] if other else [False] * len(page.lines))
+            out.append((page.page_id, page.url, text, len(text)))
+        if run:
+            before = run[-1]
+        run.clear()
 
     def table() -> pa.RecordBatch:
         made = pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
@@ -178,13 +261,19 @@ def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         return made
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "html")), strict=True):
-            page = Page(row[0], row[1], row[2], row[3], *blocks(row[4] or ""))
-            finish(page)
-            now = page
-        if out:
-            yield table()
-    finish(None)
+        for page_id, url, host, path, own, body, first, last in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "code", "body", "before", "after")), strict=True):
+            if not started:
+                before, end, started = edge(first), edge(last), True
+            page = Page(page_id, url, host, path, *unpack(body))
+            if run and run[0].host == host and code == own:
+                page.lines = run[0].lines
+            else:
+                finish(page)
+            run.append(page)
+            code = own
+            if len(out) >= 1000:
+                yield table()
+    finish(end)
     if out:
         yield table()
 
@@ -192,12 +281,19 @@ def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def extract(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars.
 
-    Null and empty html give the empty text. Pages without a usable URL stand together as one nameless host. A page alone on its host, or among
-    copies of itself, is compared with none, and so are copies that lead their host, but the last. Repeated rows are extracted each. Other columns are ignored. Neighbours are looked for inside a range
-    partition of (host, path), so a host of any size is spread over tasks.
+    Null and empty html give the empty text. Pages without a usable URL stand together as one nameless host. Copies in a row are compared with the
+    page before the first and the page after the last of them, so a page is compared with none only if its host has no page with other lines.
+    Repeated rows are extracted each. Other columns are ignored. Pages are range-partitioned by (host, path), so a host of any size is spread over
+    tasks; the pages that a partition needs from beyond its edges are handed to it, so the texts do not depend on the partitions.
     """
     own = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
     rest = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     own = own.withColumn("host", F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1))).withColumn("path", F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1))
-    laid = own.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id", "url", "html")
-    return laid.mapInArrow(extract_batches, "page_id bigint, url string, text string, n_chars bigint")
+    parsed = own.mapInArrow(parse_batches, BODY)
+    laid = pin(parsed.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id", "url", "code", "body"))
+    sides = laid.select(*KEEP).mapInArrow(edge_batches, f"part int, sides array<{EDGE}>")
+    carry = sides.repartition(1).mapInArrow(carry_batches, f"part int, before {EDGE}, after {EDGE}")  # one row a partition
+    place = F.monotonically_increasing_id()  # partition number << 33, plus the row's number in it
+    numbered = laid.withColumn("place", place).withColumn("part", F.expr("if(place & 8589934591 = 0, cast(place >> 33 as int), null)"))
+    met = numbered.join(F.broadcast(carry), "part", "left")
+    return met.select("page_id", "url", "host", "path", "code", "body", "before", "after").mapInArrow(extract_batches, "page_id bigint, url string, text string, n_chars bigint")

@@ -278,6 +278,33 @@ def test_pages_differencing(spark):
     assert pages.extract(df.where("false")).count() == 0
 
 
+def test_pages_neighbours(spark):
+    """Copies in a row and pages at the edge of a partition are compared with the nearest different page of the host, whatever the partitions."""
+    rng, rows = np.random.default_rng(5), [(k, f"http://a.org/x/{k}", "<p>Site</p><p>one</p><p>Menu</p>") for k in range(4)] + [(4, "http://a.org/x/9", "<p>Site</p><p>two</p><p>Menu</p>")]
+    for k in range(5, 120):
+        host, text = rng.integers(3), "".join(f"<p>{x}</p>" for x in rng.integers(0, 3, rng.integers(1, 4)))
+        rows.append((k, f"http://h{host}.org/{rng.integers(3)}/{rng.integers(30)}", text if rng.random() < 0.4 else f"<p>h{host}</p>"))
+    order = sorted((u.split("/")[2], "/" + u.split("/", 3)[3], i, u, re.findall("<p>(.*?)</p>", t)) for i, u, t in rows)
+    prefix = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    want = {}
+    for k, (host, path, i, _, own) in enumerate(order):
+        around = [next((q for q in side if q[0] == host and q[4] != own), None) for side in (order[k - 1::-1] if k else [], order[k + 1:])]
+        other = max((q for q in around if q), key=lambda q: prefix(q[1], path), default=None)
+        flags = pages.shared(own, other[4]) if other else [False] * len(own)
+        want[i] = "\n".join(x for x, f in zip(own, flags, strict=True) if not f)
+    assert [want[k] for k in range(5)] == ["one"] * 4 + ["two"]
+    df, names = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    kept = [spark.conf.get(n) for n in names]
+    try:
+        for n in (1, 6, 60):
+            for name, value in zip(names, (n, "false"), strict=True):
+                spark.conf.set(name, value)
+            assert {r["page_id"]: r["text"] for r in pages.extract(df).collect()} == want
+    finally:
+        for name, value in zip(names, kept, strict=True):
+            spark.conf.set(name, value)
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(300):
