@@ -1,8 +1,9 @@
 """Main text of web pages by differencing against the nearest page of the same host.
 
 Pages are laid out by host and URL path; each is paired with the neighbour whose path shares the longer prefix, their text lines are aligned by
-longest common subsequence, and lines that both have are deleted as the site's furniture. The page's own structure has the last word: lines inside
-an article or main element stay even if another page has them too, lines inside menus, footers, forms and the like go even if no other page has them.
+longest common subsequence, and lines that both have are deleted as the site's furniture. Inside an article or main element a shared line may be a
+quotation, so it goes only if most of the host's pages share it with their neighbours. Lines inside menus, footers, forms and the like go even if
+no other page has them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import store
 from millrace.session import pin
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
@@ -38,6 +40,8 @@ BLOCK = frozenset((
     "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody",
     "td", "tfoot", "th", "thead", "tr", "ul",
 ))
+#: Inside an article a line is furniture if more than half of the host's different pages share it, and no fewer than this.
+FEWEST = 4
 MAIN, OPEN, OUT = 2, 1, 0  # inside the article; outside it; inside furniture
 
 
@@ -144,13 +148,18 @@ def shared(mine: list[str], other: list[str]) -> list[bool]:
     return flags
 
 
-def main_text(page: Page, common: list[bool]) -> str:
-    """``common`` says which lines the neighbour has too."""
+def main_text(page: Page, common: list[bool], furniture: frozenset[int] = frozenset()) -> str:
+    """``common`` says which lines the neighbour has too, ``furniture`` which lines go inside an article; an article of nothing else stays."""
     if MAIN in page.zones:
-        return "\n".join(t for t, z in zip(page.lines, page.zones, strict=True) if z == MAIN)
+        inside = [t for t, z in zip(page.lines, page.zones, strict=True) if z == MAIN]
+        return "\n".join(furniture and [t for t in inside if number(t) not in furniture] or inside)
     return "\n".join(t for t, z, c in zip(page.lines, page.zones, common, strict=True) if z == OPEN and not c)
 
 
+def number(line: str) -> int:
+    return int.from_bytes(hashlib.sha256(line.encode()).digest()[:8], "little", signed=True)
+
+
 def _prefix(a: str, b: str) -> int:
     return next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
@@ -232,48 +241,76 @@ def carry_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_pylist([{"part": part, "before": before, "after": after}], pa.schema([("part", pa.int32()), ("before", EDGE_ARROW), ("after", EDGE_ARROW)]))
 
 
-def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages in order of host and path. A run of copies is done when the page after it is known; only its pages' names and zones are held."""
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[Page], list[list[bool]], list[int] | None]]:
+    """Pages in order of host and path, copies in a row together, which lines each shares with its neighbour, and the host's furniture.
+
+    A run is done when the page after it is known; of its pages only names and zones are held.
+    """
     before: Page | None = None  # the last page before the run
-    run: list[Page] = []  # copies in a row; their lines are one list
-    code, end, started = None, None, False
-    out: list[tuple] = []
+    run: list[Page] = []  # their lines are one list
+    code, end, started, furniture = None, None, False, None
 
     def edge(row: dict | None) -> Page | None:
         return Page(None, None, row["host"], row["path"], *unpack(row["body"])) if row else None
 
-    def finish(after: Page | None) -> None:
-        nonlocal before
+    def compared(after: Page | None) -> list[list[bool]]:
         known: dict[int, list[bool]] = {}
+        out = []
         for page in run:
             other = nearest(page, before, after)
-            if other is not None and id(other) not in known:
-                known[id(other)] = shared(page.lines, other.lines)
-            text = main_text(page, known[id(other)] if other else [False] * len(page.lines))
-            out.append((page.page_id, page.url, text, len(text)))
-        if run:
-            before = run[-1]
-        run.clear()
-
-    def table() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
-        out.clear()
-        return made
+            if id(other) not in known:
+                known[id(other)] = shared(page.lines, other.lines) if other else [False] * len(page.lines)
+            out.append(known[id(other)])
+        return out
 
     for batch in batches:
-        for page_id, url, host, path, own, body, first, last in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "code", "body", "before", "after")), strict=True):
+        names = ("page_id", "url", "host", "path", "code", "body", "before", "after")
+        lists = batch.column("furniture").to_pylist() if "furniture" in batch.schema.names else [None] * batch.num_rows
+        for page_id, url, host, path, own, body, first, last, gone in zip(*(batch.column(c).to_pylist() for c in names), lists, strict=True):
             if not started:
                 before, end, started = edge(first), edge(last), True
             page = Page(page_id, url, host, path, *unpack(body))
             if run and run[0].host == host and code == own:
                 page.lines = run[0].lines
-            else:
-                finish(page)
+            elif run:
+                yield run, compared(page), furniture
+                before, run = run[-1], []
             run.append(page)
-            code = own
-            if len(out) >= 1000:
-                yield table()
-    finish(end)
+            code, furniture = own, gone
+    if run:
+        yield run, compared(end), furniture
+
+
+def suspect_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines inside articles that a page shares with its neighbour, and a null line for the page itself; a run of copies counts once."""
+    host, line = [], []
+    for run, common, _ in runs(batches):
+        page = run[0]
+        found = [None, *{number(t) for t, z, c in zip(page.lines, page.zones, common[0], strict=True) if z == MAIN and c}]
+        host += [page.host] * len(found)
+        line += found
+        if len(host) >= 10000:
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(line, pa.int64())], ["host", "line"])
+            host, line = [], []
+    if host:
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(line, pa.int64())], ["host", "line"])
+
+
+def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+
+    def table() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        out.clear()
+        return made
+
+    for run, common, furniture in runs(batches):
+        gone = frozenset(furniture or ())
+        for page, flags in zip(run, common, strict=True):
+            text = main_text(page, flags, gone)
+            out.append((page.page_id, page.url, text, len(text)))
+        if len(out) >= 1000:
+            yield table()
     if out:
         yield table()
 
@@ -296,4 +333,9 @@ def extract(pages: DataFrame) -> DataFrame:
     place = F.monotonically_increasing_id()  # partition number << 33, plus the row's number in it
     numbered = laid.withColumn("place", place).withColumn("part", F.expr("if(place & 8589934591 = 0, cast(place >> 33 as int), null)"))
     met = numbered.join(F.broadcast(carry), "part", "left")
-    return met.select("page_id", "url", "host", "path", "code", "body", "before", "after").mapInArrow(extract_batches, "page_id bigint, url string, text string, n_chars bigint")
+    met = met.select("page_id", "url", "host", "path", "code", "body", "before", "after")
+    counts = met.mapInArrow(suspect_batches, "host string, line bigint").groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    counts = store(counts.where(f"line is null or n >= {FEWEST}"), "page-lines")
+    most = counts.where("line is not null").join(counts.where("line is null").select("host", F.col("n").alias("pages")), "host").where("2 * n > pages")
+    furniture = most.groupBy("host").agg(F.collect_list("line").alias("furniture"))  # fewer lines a host than twice those of a page
+    return met.join(F.broadcast(furniture), "host", "left").mapInArrow(extract_batches, "page_id bigint, url string, text string, n_chars bigint")

@@ -278,6 +278,24 @@ def test_pages_differencing(spark):
     assert pages.extract(df.where("false")).count() == 0
 
 
+def test_pages_differencing_inside_articles(spark):
+    """A line that most pages of the host share goes inside an article too; a quotation, a page of nothing else and a small host's lines stay."""
+    page = lambda x: f"<nav>m</nav><main><p>Share this</p><p>Text {x}</p><p>{'Quoted' if x in (3, 4) else x}</p><p>Share this</p><p>Notice</p></main>"
+    rows = [(k, f"http://a.org/{k}", page(k)) for k in range(1, 10)] + [(10, "http://a.org/91", "<main><p>Share this</p><p>Notice</p></main>")] + [(k, f"http://b.org/{k}", page(k)) for k in (11, 12)]
+    want = {k: f"Text {k}\n{'Quoted' if k in (3, 4) else k}" for k in range(1, 10)} | {10: "Share this\nNotice"} | {k: f"Share this\nText {k}\n{k}\nShare this\nNotice" for k in (11, 12)}
+    assert {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()} == want
+
+
+def test_pages_without_tags(spark):
+    """Differencing alone, the article and main tags taken out of the pages, finds most lines of the articles."""
+    full = table(spark, SF, "pages")
+    bare = full.withColumn("html", F.regexp_replace("html", r"(?i)<(/?)(article|main)\b", "<$1div"))
+    want, got = ({r["page_id"]: Counter(r["text"].split("\n")) for r in pages.extract(x).collect()} for x in (full, bare))
+    hit, wanted, found = (sum(n for i in want for n in x(i).values()) for x in (lambda i: want[i] & got[i], want.get, got.get))
+    print(f"lines found {hit / wanted:.4f}, right {hit / found:.4f}")
+    assert hit > 0.9 * wanted and hit > 0.9 * found
+
+
 def test_pages_neighbours(spark):
     """Copies in a row and pages at the edge of a partition are compared with the nearest different page of the host, whatever the partitions."""
     rng, rows = np.random.default_rng(5), [(k, f"http://a.org/x/{k}", "<p>Site</p><p>one</p><p>Menu</p>") for k in range(4)] + [(4, "http://a.org/x/9", "<p>Site</p><p>two</p><p>Menu</p>")]
