@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators and of the pipeline."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import contamination, language, lines, minhash, mixing, packing, pages, rules, secrets, toxicity
+from millrace.llm import audit, contamination, language, lines, minhash, mixing, packing, pages, rules, secrets, spelling, tokenfiles, toxicity
 from millrace.llm.tables import store, table
 
 QUERIES = {}
@@ -72,3 +72,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = tokenfiles.write(table(spark, sf_dir, "documents"))
+    return tokenfiles.read(written).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op13_interactions"] = audit.INTERACTIONS_SQL
