@@ -62,13 +62,13 @@ def _tagged(spark, sf):
 
 @query(f"""WITH {SHEETS_SQL}
 SELECT CLAIM_NUMBER, CLAIMANT_NAME, ACCIDENT_DATE, VALUATION_DATE, POLICY_EFFECTIVE_DATE, TOTAL_INCURRED, CLAIM_STATUS, ENTITY, EMAIL_FULL_SUBJECT_LINE,
-sub AS ENTITY_FROM_EMAIL_SUBJECT_LINE, k AS ENTITY_FOR_TEXT_MATCHING FROM sheets WHERE is_new""")
+sub AS ENTITY_FROM_EMAIL_SUBJECT_LINE, k AS ENTITY_FOR_TEXT_MATCHING, is_new FROM sheets""")
 def sheet_ingest(spark, sf):
-    """Text sheets tagged, cleaned, typed and freed of exact duplicates."""
-    new, _ = _tagged(spark, sf)
-    return new.select(
+    """Text sheets, new and old, tagged, cleaned, typed and freed of exact duplicates."""
+    new, old = _tagged(spark, sf)
+    return new.withColumn("is_new", F.lit(True)).unionByName(old.withColumn("is_new", F.lit(False))).select(
         "CLAIM_NUMBER", "CLAIMANT_NAME", "ACCIDENT_DATE", "VALUATION_DATE", "POLICY_EFFECTIVE_DATE", "TOTAL_INCURRED", "CLAIM_STATUS", "ENTITY",
-        "EMAIL_FULL_SUBJECT_LINE", "ENTITY_FROM_EMAIL_SUBJECT_LINE", "ENTITY_FOR_TEXT_MATCHING",
+        "EMAIL_FULL_SUBJECT_LINE", "ENTITY_FROM_EMAIL_SUBJECT_LINE", "ENTITY_FOR_TEXT_MATCHING", "is_new",
     )
 
 

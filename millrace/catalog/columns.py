@@ -326,7 +326,7 @@ def shape_columns(spark, sf):
     return shape.cast_all(shape.cast_all(c, {"balance": "decimal(16,6)"}), {"balance": "double"}).drop("c_name", "c_nationkey")
 
 
-@query("SELECT s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0")
+@query("SELECT s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def sql_views(spark, sf):
     """SQL text over registered frames."""
     shape.register(table(spark, sf, "supplier"), "millrace_supplier")

@@ -6,7 +6,7 @@ a list of CTEs) the SQL counterparts build on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import table
@@ -164,12 +164,18 @@ worst AS (
 
 # ---------------------------------------------------------------- contacts
 
+def _id_parts(user: Column) -> tuple[Column, Column]:
+    """The four and six digits of a policy id; an id that needs more digits is an error, not a shorter one."""
+    fits = F.when((user >= 0) & (user < 10**10), user).otherwise(F.raise_error(F.concat(F.lit("no ten-digit id: "), user.cast("string"))).cast("bigint"))
+    return F.lpad(F.expr("user_id div 1000000").cast("string"), 4, "0"), F.lpad((fits % 1000000).cast("string"), 6, "0")
+
+
 def contact_events(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     kind, k = F.col("event_type"), F.get_json_object("props", "$.k").cast("int")
-    user = F.col("user_id").cast("string")
+    high, low = _id_parts(F.col("user_id"))
     return e.select(
-        "event_id", F.concat(F.lpad(user, 12, "0"), F.lit("-"), F.lpad(user, 12, "0"), F.lit("/EV")).alias("pol_id"),
+        "event_id", F.concat(high, F.lit("-"), low, F.lit("/EV")).alias("pol_id"),
         F.col("ts").alias("date_time"),
         F.when(kind == "click", "Web").when(kind == "view", "Phone").when(kind == "signup", "eMail").when(kind == "purchase", "Mail").otherwise("System").alias("channel"),
         F.when(k < 15, "Pay my Bill").when(k < 30, "Renewal").when(k < 45, "Billing Call").when(k < 55, "Audit Notice")
@@ -180,24 +186,24 @@ def contact_events(spark: SparkSession, sf: str) -> DataFrame:
 def contact_terms(spark: SparkSession, sf: str) -> DataFrame:
     """Two one-year terms per user, the first starting on some day of 2023."""
     users = table(spark, sf, "events").select("user_id").distinct()
-    user = F.col("user_id").cast("string")
+    high, low = _id_parts(F.col("user_id"))
     first = F.date_add(F.lit("2023-01-01").cast("date"), (F.col("user_id") * 7 % 365).cast("int"))
     return users.select(
-        F.concat(F.lpad(user, 12, "0"), F.lit(" "), F.lpad(user, 12, "0")).alias("pol_id"),
+        F.concat(high, F.lit(" "), low).alias("pol_id"),
         F.explode(F.array(first, F.date_add(first, 365))).alias("term_eff_dt"),
     )
 
 
 CONTACT_SQL = """
 contacts AS (
-  SELECT event_id, lpad(CAST(user_id AS VARCHAR), 12, '0') || '-' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '/EV' AS pol_id,
+  SELECT event_id, lpad(CAST(user_id // 1000000 AS VARCHAR), 4, '0') || '-' || lpad(CAST(user_id % 1000000 AS VARCHAR), 6, '0') || '/EV' AS pol_id,
          ts AS date_time,
          CASE event_type WHEN 'click' THEN 'Web' WHEN 'view' THEN 'Phone' WHEN 'signup' THEN 'eMail' WHEN 'purchase' THEN 'Mail' ELSE 'System' END AS channel,
          CASE WHEN k < 15 THEN 'Pay my Bill' WHEN k < 30 THEN 'Renewal' WHEN k < 45 THEN 'Billing Call' WHEN k < 55 THEN 'Audit Notice'
               WHEN k < 65 THEN 'Get Quote' WHEN k < 75 THEN 'Missing Info' WHEN k < 85 THEN 'Cancellation' WHEN k < 95 THEN 'Unlisted point' END AS touch_point
   FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events)),
 terms AS (
-  SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') || ' ' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS pol_id,
+  SELECT lpad(CAST(user_id // 1000000 AS VARCHAR), 4, '0') || ' ' || lpad(CAST(user_id % 1000000 AS VARCHAR), 6, '0') AS pol_id,
          unnest([DATE '2023-01-01' + CAST(user_id * 7 % 365 AS INTEGER), DATE '2023-01-01' + CAST(user_id * 7 % 365 AS INTEGER) + 365]) AS term_eff_dt
   FROM (SELECT DISTINCT user_id FROM events)),
 journey AS (

@@ -1,8 +1,8 @@
 """Joins on time: point in interval, lookback, overlap, as-of.
 
-All of them stay equality joins for the planner. The time axis is cut into
-buckets and the bucket number joins the key, so a key with very many rows is
-spread over its buckets and only rows near each other in time meet.
+All of them stay equality joins for the planner. Intervals are indexed by length class: the
+time axis is cut into cells, and an interval that touches up to 2**k of them lies on the one or two
+nodes of 2**k cells it touches, however long it is. A point asks one node per class that has intervals.
 """
 
 from __future__ import annotations
@@ -19,62 +19,59 @@ def bucket_no(ts: Column, hours: int) -> Column:
     return F.floor(hour_no(ts) / hours)
 
 
-def _spread(df: DataFrame, first: Column, last: Column, hours: int) -> DataFrame:
-    """One copy of each row per bucket its interval touches; callers clip open ends to what the other side can meet."""
-    return df.withColumn("__bucket", F.explode(F.sequence(bucket_no(first, hours), bucket_no(last, hours))))
+def _on_nodes(df: DataFrame, first: Column, last: Column, hours: int) -> DataFrame:
+    """Rows with ``__level`` and ``__node``, one or two copies each: the nodes of their length class."""
+    cells = df.withColumns({"__from": bucket_no(first, hours), "__to": bucket_no(last, hours)}).filter("__from <= __to")
+    classed = cells.withColumn("__level", F.expr("CASE WHEN __from = __to THEN 0 ELSE length(bin(__to - __from)) END"))
+    node = F.explode(F.sequence(F.expr("shiftright(__from, __level)"), F.expr("shiftright(__to, __level)")))
+    return classed.withColumn("__node", node).drop("__from", "__to")
+
+
+def stab_join(points: DataFrame, intervals: DataFrame, key: str, ts: Column, first: Column, last: Column, inside: Column, hours: int) -> DataFrame:
+    """Points with every interval of their key for which ``inside`` holds, which must imply ``first <= ts <= last``.
+
+    The classes in use, at most some forty small numbers, are a scalar subquery over the intervals; each point is copied once per class.
+    Intervals of one length make one class, so neither side grows much; an interval open at both ends lies on two nodes at most.
+    """
+    placed = _on_nodes(intervals, first, last, hours)
+    classes = placed.agg(F.collect_set("__level")).scalar()
+    asked = points.filter(F.col(key).isNotNull() & ts.isNotNull()).withColumns({"__cell": bucket_no(ts, hours), "__level": F.explode(classes)})
+    asked = asked.withColumn("__node", F.expr("shiftright(__cell, __level)")).drop("__cell")
+    return asked.join(placed, [key, "__level", "__node"]).filter(inside).drop("__level", "__node")
 
 
 def interval_join(events: DataFrame, terms: DataFrame, key: str, ts: str, start: str, end: str,
                   hours: int = 24 * 92) -> DataFrame:
     """Events with every term of their key where ``start <= ts < end``.
 
-    ``hours`` is the bucket width: about a quarter of the usual term length keeps
-    the copies per term small and the pairs per bucket few.
+    ``hours`` is the width of a cell: a fraction of the usual term length keeps the pairs per node few.
     """
-    low, high = events.agg(F.min(ts)).scalar(), events.agg(F.max(ts)).scalar()
-    met = terms.filter((F.col(start) < F.col(end)) & (F.col(start) <= high) & (F.col(end) > low))
-    spread = _spread(met, F.greatest(F.col(start), low), F.least(F.col(end), high), hours)
-    points = events.filter(F.col(key).isNotNull()).withColumn("__bucket", bucket_no(F.col(ts), hours))
-    inside = (F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))
-    return points.join(spread, [key, "__bucket"]).filter(inside).drop("__bucket")
+    at, begin, stop = F.col(ts), F.col(start), F.col(end)
+    return stab_join(events, terms.filter(begin < stop), key, at, begin, stop, (at >= begin) & (at < stop), hours)
 
 
 def lookback_join(a: DataFrame, b: DataFrame, key: str, v: str, t: str, months: int = 12, floor=None,
                   hours: int = 24 * 92) -> DataFrame:
     """``a`` with every row of ``b`` of its key where ``t - months < v < t`` (and ``v >= floor``)."""
     low = add_months_eom(F.col(t), -months)
-    spread = _spread(b.filter(F.col(t).isNotNull()), low, F.col(t), hours)
-    points = a.filter(F.col(key).isNotNull() & F.col(v).isNotNull())
-    if floor is not None:
-        points = points.filter(F.col(v) >= F.lit(floor).cast("date"))
-    points = points.withColumn("__bucket", bucket_no(F.col(v), hours))
+    points = a if floor is None else a.filter(F.col(v) >= F.lit(floor).cast("date"))
     inside = (F.col(v) < F.col(t)) & (F.col(v) > low)
-    return points.join(spread, [key, "__bucket"]).filter(inside).drop("__bucket")
+    return stab_join(points, b.filter(F.col(t).isNotNull()), key, F.col(v), low, F.col(t), inside, hours)
 
 
 def overlap_join(a: DataFrame, b: DataFrame, key: str, a_iv: tuple[str, str], b_iv: tuple[str, str],
                  hours: int = 1, clip: tuple[str, str] = ("overlap_start", "overlap_end")) -> DataFrame:
     """Pairs of one key whose half-open intervals share time, with the shared stretch.
 
-    Both sides are copied per bucket; a pair is kept only in the first bucket the
-    two share, so no de-duplication is needed afterwards. That bucket holds the later
-    start, so no copies are made before the other side's first start or after its last:
-    intervals open at either end cost no more than the range of starts.
+    Two intervals share time where the later start lies in the other interval. So there are two joins of
+    starts with intervals, which have no pair in common: a's start in b, and b's later start in a.
     """
     (a0, a1), (b0, b1) = (map(F.col, iv) for iv in (a_iv, b_iv))
-
-    def copies(df: DataFrame, own: tuple, other: DataFrame, start: str, mark: str) -> DataFrame:
-        low, high = other.agg(F.min(start)).scalar(), other.agg(F.max(start)).scalar()
-        met = df.filter((own[0] < own[1]) & (own[1] > low))
-        return _spread(met, F.greatest(own[0], low), F.least(own[1], F.greatest(own[0], high)), hours).withColumn(mark, bucket_no(own[0], hours))
-
-    left, right = copies(a, (a0, a1), b, b_iv[0], "__a_first"), copies(b, (b0, b1), a, a_iv[0], "__b_first")
-    meet = (a0 < b1) & (a1 > b0) & (F.col("__bucket") == F.greatest("__a_first", "__b_first"))
-    return (
-        left.join(right, [key, "__bucket"]).filter(meet)
-        .withColumns({clip[0]: F.greatest(a0, b0), clip[1]: F.least(a1, b1)})
-        .drop("__bucket", "__a_first", "__b_first")
-    )
+    left, right = a.filter(a0 < a1), b.filter(b0 < b1)
+    within_b = stab_join(left, right, key, a0, b0, b1, (a0 >= b0) & (a0 < b1), hours)
+    within_a = stab_join(right, left, key, b0, a0, a1, (b0 > a0) & (b0 < a1), hours)
+    names = [key, *[c for c in (*a.columns, *b.columns) if c != key]]
+    return within_b.select(*names).unionByName(within_a.select(*names)).withColumns({clip[0]: F.greatest(a0, b0), clip[1]: F.least(a1, b1)})
 
 
 def match_null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

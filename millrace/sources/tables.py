@@ -59,11 +59,12 @@ def append(df: DataFrame, schema: T.StructType, path: str, fmt: str = "parquet")
 
 
 def incremental(df: DataFrame, target: DataFrame, ts_col: str, lookback_days: int = 0, target_col: str | None = None) -> DataFrame:
-    """Rows of ``df`` after the newest ``ts_col`` in ``target`` minus ``lookback_days``; all rows when target is empty.
+    """Rows of ``df`` after the newest ``ts_col`` in ``target`` minus ``lookback_days``; all rows, null times too, when target is empty or has no times.
 
-    The mark is a scalar subquery, so the comparison reaches the scan of ``df``. An empty target's mark lies before every value.
+    The mark is a scalar subquery, so the comparison reaches the scan of ``df``. Without a mark every time passes, and only then do null times.
     """
     mark = F.max(target_col or ts_col)
     low = F.date_sub(mark, lookback_days) if lookback_days else mark
     first = F.lit("0001-01-01").cast(df.schema[ts_col].dataType)
-    return df.filter(F.col(ts_col) > target.agg(F.coalesce(low, first)).scalar())
+    since, unmarked = target.agg(F.coalesce(low, first)).scalar(), target.agg(mark.isNull()).scalar()
+    return df.filter((F.col(ts_col) > since) | (F.col(ts_col).isNull() & unmarked))
