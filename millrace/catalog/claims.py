@@ -8,6 +8,7 @@ from millrace.catalog.columns import sql_account, sql_match
 from millrace.catalog.joins import LCS
 from millrace.catalog.registry import query, table
 from millrace.plans import linkage
+from millrace.session import pin, scratch_path
 
 TODAY = "2002-01-01"
 
@@ -53,11 +54,8 @@ sheets AS (SELECT DISTINCT CLAIM_NUMBER, CLAIMANT_NAME, ACCIDENT_DATE, VALUATION
 
 
 def _tagged(spark, sf):
-    raw = _sheets(spark, sf)
-    today = F.lit(TODAY)
-    new = linkage.tag_sheets(raw.filter("is_new"), "subject", "received", today)
-    old = linkage.tag_sheets(raw.filter("NOT is_new"), "subject", "received", today)
-    return new, old
+    both = pin(linkage.tag_sheets(_sheets(spark, sf), "subject", "received", F.lit(TODAY), ["is_new"]))
+    return both.filter("is_new").drop("is_new"), both.filter("NOT is_new").drop("is_new")
 
 
 @query(f"""WITH {SHEETS_SQL}
@@ -117,35 +115,60 @@ LAST = "QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY VALUATION_DATE D
 SHEET_TIES = ", ".join(f"{c} DESC NULLS FIRST" for c in ("CLAIM_STATUS", "CLAIMANT_NAME", "TOTAL_INCURRED", "ENTITY", "EMAIL_FULL_SUBJECT_LINE", "sub"))
 
 
-@query(f"""WITH {SHEETS_SQL}, {REQUESTS_SQL},
+SHARED_SQL = f"""{SHEETS_SQL}, {REQUESTS_SQL},
 lefts AS (SELECT DISTINCT k AS key, {sql_match("k")} AS name FROM (SELECT DISTINCT k FROM sheets)),
 l AS (SELECT DISTINCT name FROM lefts WHERE name <> ''), r AS (SELECT DISTINCT k AS name FROM requests),
 pairs AS (SELECT l.name, r.name AS r, length(l.name) + length(r.name) AS s, length(l.name) + length(r.name) - 2 * ({LCS}) AS d FROM l JOIN r ON length(r.name) BETWEEN length(l.name) - 5 AND length(l.name) + 5),
 best AS (SELECT * FROM pairs WHERE round_even(100.0::DOUBLE * (s - d) / s, 0) > 90 QUALIFY row_number() OVER (PARTITION BY name ORDER BY round_even(100.0::DOUBLE * (s - d) / s, 0) DESC, d * 1.0 / s, r) = 1),
-matched AS (SELECT s.* EXCLUDE (k), b.r AS m FROM sheets s LEFT JOIN lefts f ON s.k = f.key LEFT JOIN best b ON f.name = b.name),
-old1 AS (SELECT s.* FROM sheets s WHERE NOT is_new {LAST.format(keys="k, CLAIM_NUMBER, ACCIDENT_DATE, POLICY_EFFECTIVE_DATE", ties=SHEET_TIES.replace("CLAIM_STATUS DESC NULLS FIRST, CLAIMANT_NAME", "CLAIM_STATUS DESC NULLS FIRST, CLAIMANT_NAME"))}),
-old2 AS (SELECT o.* EXCLUDE (k), b.r AS m FROM old1 o LEFT JOIN lefts f ON o.k = f.key LEFT JOIN best b ON f.name = b.name),
-now AS (SELECT a.*, q.ACCOUNT_NAME, q.TERM_EFFCTV_DATE, q.NEW_RENEWAL, q.STATUS FROM (SELECT * FROM matched WHERE is_new) a LEFT JOIN requests q ON a.m = q.k),
-before AS (SELECT a.*, q.ACCOUNT_NAME, q.TERM_EFFCTV_DATE, q.NEW_RENEWAL, q.STATUS FROM old2 a JOIN requests q ON a.m = q.k),
-recent AS (SELECT * FROM (SELECT * FROM now UNION ALL SELECT * FROM before)
-  WHERE (VALUATION_DATE >= TERM_EFFCTV_DATE - 365 AND VALUATION_DATE <= TERM_EFFCTV_DATE) OR TERM_EFFCTV_DATE IS NULL OR VALUATION_DATE IS NULL),
-ours AS (SELECT * FROM recent {LAST.format(keys="m, CLAIM_NUMBER, ACCIDENT_DATE, POLICY_EFFECTIVE_DATE, TERM_EFFCTV_DATE", ties=SHEET_TIES)}),
 master0 AS (SELECT CAST(c_custkey AS VARCHAR) AS ORGNZTN_IDNTFR, c_name AS ORGNZTN_NAME, o_orderpriority AS PRDCT, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS st, o_totalprice AS amt,
   CASE WHEN o_orderstatus = 'P' THEN 'Part-' || CAST(o_custkey AS VARCHAR) ELSE 'CLM ' || CAST(o_orderkey AS VARCHAR) END AS CLM, CAST(date_trunc('year', o_orderdate) AS DATE) AS term
   FROM orders JOIN customer ON o_custkey = c_custkey),
 master AS (SELECT *, array_to_string(list_sort(regexp_split_to_array(upper(CLM), '\\W+')), ' ') AS jk FROM master0
-  QUALIFY row_number() OVER (PARTITION BY CLM, day, term ORDER BY ORGNZTN_IDNTFR DESC, ORGNZTN_NAME DESC, PRDCT DESC, amt DESC) = 1),
-keyed2 AS (SELECT *, array_to_string(list_sort(regexp_split_to_array(upper(CASE WHEN CLAIM_NUMBER IN (SELECT CLM FROM master) THEN CLAIM_NUMBER ELSE CLAIMANT_NAME END), '\\W+')), ' ') AS jk FROM ours),
-merged AS (SELECT a.*, a.jk IS NOT NULL AS has_a, b.CLM, b.day, b.term, b.st, b.amt, b.ORGNZTN_IDNTFR, b.ORGNZTN_NAME, b.PRDCT, b.jk AS bjk
-  FROM keyed2 a FULL JOIN master b ON a.jk IS NOT DISTINCT FROM b.jk AND a.ACCIDENT_DATE IS NOT DISTINCT FROM b.day AND a.TERM_EFFCTV_DATE IS NOT DISTINCT FROM b.term
-   AND a.VALUATION_DATE IS NOT DISTINCT FROM b.day + 30)
-SELECT coalesce(CLAIM_NUMBER, CLAIMANT_NAME, CLM) AS CLM_IDNTFR, CLAIM_NUMBER, coalesce(ACCIDENT_DATE, day) AS ACCIDENT_DATE, CASE WHEN has_a THEN TERM_EFFCTV_DATE ELSE term END AS TERM_EFFCTV_DATE,
+  QUALIFY row_number() OVER (PARTITION BY CLM, day, term ORDER BY ORGNZTN_IDNTFR DESC, ORGNZTN_NAME DESC, PRDCT DESC, amt DESC) = 1)"""
+
+
+def linked_sql(run: str, new: str, old: str, today: str) -> str:
+    """The tables of one run, named after it: sheets that satisfy ``new`` linked with those that satisfy ``old`` and with the master."""
+    return f"""
+now{run} AS (SELECT s.* EXCLUDE (k), b.r AS m, q.ACCOUNT_NAME, q.TERM_EFFCTV_DATE, q.NEW_RENEWAL, q.STATUS FROM sheets s LEFT JOIN lefts f ON s.k = f.key LEFT JOIN best b ON f.name = b.name LEFT JOIN requests q ON b.r = q.k WHERE {new}),
+old{run} AS (SELECT s.* FROM sheets s WHERE {old} {LAST.format(keys="k, CLAIM_NUMBER, ACCIDENT_DATE, POLICY_EFFECTIVE_DATE", ties=SHEET_TIES)}),
+before{run} AS (SELECT o.* EXCLUDE (k), b.r AS m, q.ACCOUNT_NAME, q.TERM_EFFCTV_DATE, q.NEW_RENEWAL, q.STATUS FROM old{run} o JOIN lefts f ON o.k = f.key JOIN best b ON f.name = b.name JOIN requests q ON b.r = q.k),
+recent{run} AS (SELECT * FROM (SELECT * FROM now{run} UNION ALL SELECT * FROM before{run})
+  WHERE (VALUATION_DATE >= TERM_EFFCTV_DATE - 365 AND VALUATION_DATE <= TERM_EFFCTV_DATE) OR TERM_EFFCTV_DATE IS NULL OR VALUATION_DATE IS NULL),
+ours{run} AS (SELECT * FROM recent{run} {LAST.format(keys="m, CLAIM_NUMBER, ACCIDENT_DATE, POLICY_EFFECTIVE_DATE, TERM_EFFCTV_DATE", ties=SHEET_TIES)}),
+keyed{run} AS (SELECT *, array_to_string(list_sort(regexp_split_to_array(upper(CASE WHEN CLAIM_NUMBER IN (SELECT CLM FROM master) THEN CLAIM_NUMBER ELSE CLAIMANT_NAME END), '\\W+')), ' ') AS jk FROM ours{run}),
+merged{run} AS (SELECT a.*, a.jk IS NOT NULL AS has_a, b.CLM, b.day, b.term, b.st, b.amt, b.ORGNZTN_IDNTFR, b.ORGNZTN_NAME, b.PRDCT, b.jk AS bjk
+  FROM keyed{run} a FULL JOIN master b ON a.jk IS NOT DISTINCT FROM b.jk AND a.ACCIDENT_DATE IS NOT DISTINCT FROM b.day AND a.TERM_EFFCTV_DATE IS NOT DISTINCT FROM b.term
+   AND a.VALUATION_DATE IS NOT DISTINCT FROM b.day + 30),
+linked{run} AS (SELECT coalesce(CLAIM_NUMBER, CLAIMANT_NAME, CLM) AS CLM_IDNTFR, CLAIM_NUMBER, coalesce(ACCIDENT_DATE, day) AS ACCIDENT_DATE, CASE WHEN has_a THEN TERM_EFFCTV_DATE ELSE term END AS TERM_EFFCTV_DATE,
  CASE WHEN has_a THEN VALUATION_DATE ELSE day + 30 END AS VALUATION_DATE, coalesce(POLICY_EFFECTIVE_DATE, day) AS POLICY_EFFECTIVE_DATE, coalesce(TOTAL_INCURRED, amt) AS TOTAL_INCURRED,
  coalesce(CLAIM_STATUS, st) AS CLAIM_STATUS, upper(coalesce(ORGNZTN_NAME, ENTITY, sub)) AS ENTITY_FINAL, coalesce(STATUS, CASE WHEN bjk IS NOT NULL THEN 'DECLINED' END) AS STATUS,
  coalesce(NEW_RENEWAL, CASE WHEN bjk IS NOT NULL THEN 'New' END) AS NEW_RENEWAL, ACCOUNT_NAME, m AS ENTITY_FOR_TEXT_MATCHING, CASE WHEN has_a THEN 1::BIGINT END AS IS_SHEET,
  CASE WHEN bjk IS NOT NULL THEN 1::BIGINT END AS IS_MASTER, ORGNZTN_IDNTFR, PRDCT AS PRODUCT, CASE WHEN bjk IS NOT NULL THEN 'Carrier' END AS CARRIER,
- CASE WHEN has_a THEN DATE '{TODAY}' END AS RECORD_INSERTION_DATE FROM merged""")
+ CASE WHEN has_a THEN DATE '{today}' END AS RECORD_INSERTION_DATE, EMAIL_FULL_SUBJECT_LINE AS line, CLAIMANT_NAME AS who FROM merged{run})"""
+
+
+@query(f"WITH {SHARED_SQL}, {linked_sql('0', 'is_new', 'NOT is_new', TODAY)} SELECT {', '.join(SHOWN)} FROM linked0")
 def linkage_history(spark, sf):
     new, old = _tagged(spark, sf)
     out = linkage.loss_history_linkage(new, old, _requests(spark, sf), _master(spark, sf), F.lit(TODAY))
     return out.select(*SHOWN)
+
+
+FIRST_RUN = "1997-01-01"
+OLD_WINDOW = f"NOT is_new AND VALUATION_DATE BETWEEN DATE '{FIRST_RUN}' - 396 AND DATE '{FIRST_RUN}' + 91"
+SAME = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in (*SHOWN, "line", "who") if c != "RECORD_INSERTION_DATE")
+
+
+@query(f"""WITH {SHARED_SQL}, {linked_sql("1", "NOT is_new", "false", FIRST_RUN)}, {linked_sql("2", "is_new", OLD_WINDOW, TODAY)}
+SELECT {', '.join(SHOWN)}, 0::BIGINT AS batch FROM linked1 UNION ALL
+SELECT {', '.join(SHOWN)}, 1::BIGINT AS batch FROM linked2 a WHERE NOT EXISTS (SELECT 1 FROM linked1 b WHERE {SAME})""")
+def linkage_runs(spark, sf):
+    """The whole chain twice, from files: the first sheets start the history, the second batch of files adds to it what is new."""
+    inbox, home = scratch_path(spark, "inbox"), scratch_path(spark, "linkage")
+    sheets = _sheets(spark, sf)
+    requests, master = _requests(spark, sf), _master(spark, sf)
+    for part, today in (("NOT is_new", FIRST_RUN), ("is_new", TODAY)):
+        sheets.filter(part).drop("is_new").write.mode("append").csv(inbox, header=True)
+        linkage.run(spark, inbox, home, requests, master, F.lit(today))
+    return linkage.read_history(spark, home).select(*SHOWN, "batch")

@@ -6,6 +6,7 @@ therefore one Arrow-batched UDF; ASCII-only values reach it as nulls.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from functools import reduce
@@ -66,9 +67,10 @@ def _nfkd(values: pd.Series) -> pd.Series:
     return values.map(fold_text, na_action="ignore")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@F.pandas_udf(T.StringType())
 def _nfkd_rows(rows: pd.Series) -> pd.Series:
-    return rows.map(lambda row: [fold_text(s) for s in row], na_action="ignore")
+    """Rows as JSON arrays: a text column crosses several times faster than one of arrays, null or not."""
+    return rows.map(lambda row: json.dumps([s if s is None else fold_text(s) for s in json.loads(row)]), na_action="ignore")
 
 
 NON_ASCII = r"[^\x00-\x7F]"
@@ -87,8 +89,8 @@ def ascii_fold(df: DataFrame, cols: list[str]) -> DataFrame:
     if not cols:
         return df
     cells = [F.col(f"`{c}`") for c in cols]
-    sent = F.when(F.concat_ws("", *cells).rlike(NON_ASCII), F.array(*cells))
-    packed = df.withColumn("__fold", _nfkd_rows(sent))
+    sent = F.when(F.concat_ws("", *cells).rlike(NON_ASCII), F.to_json(F.array(*cells)))
+    packed = df.withColumn("__fold", F.from_json(_nfkd_rows(sent), "array<string>"))
     done = F.col("__fold").isNotNull()
     return packed.withColumns({
         c: F.when(done, F.get("__fold", F.lit(i))).otherwise(cell) for i, (c, cell) in enumerate(zip(cols, cells))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +16,11 @@ from millrace.operators.setops import union_by_name
 from millrace.operators.shape import conform
 from millrace.schemas import claim_sheet, loss_history
 from millrace.session import pin
+from millrace.sources.files import files_to_rows
 
 MATCH = "ENTITY_FOR_TEXT_MATCHING"
+# Columns of the sheet layout that come from the message or the run, not from the file.
+DERIVED = ("EMAIL_FULL_SUBJECT_LINE", "ENTITY_FROM_EMAIL_SUBJECT_LINE", "ENTITY_FOR_TEXT_MATCHING", "RECORD_INSERTION_DATE")
 MERGE_KEYS = ["CLM_IDNTFR_JOIN_KEY", "ACCIDENT_DATE", "TERM_EFFCTV_DATE", "VALUATION_DATE"]
 
 # Output column to its sources by priority, after the merge.
@@ -35,19 +39,29 @@ PAIRS = {
 }
 
 
-def tag_sheets(raw: DataFrame, subject: str, received: str, inserted: Column) -> DataFrame:
-    """Columns derived from the message a sheet came with, then the declared sheet layout.
+def clean_names(raw: DataFrame, subject: str) -> DataFrame:
+    """(subject, ENTITY, entity, match key) of every different pair: the cleaners run once per name, not once per row."""
+    names = pin(raw.select(F.col(subject).alias("__subject"), F.col("ENTITY").cast("string").alias("__entity")).distinct())
+    found = names.withColumn("__name", F.coalesce(account_name_of(F.col("__subject")), F.col("__entity")))
+    return pin(found.withColumn("__key", match_key_of(F.col("__name"))))
+
+
+def tag_sheets(raw: DataFrame, subject: str, received: str, inserted: Column, extra: list[str] = ()) -> DataFrame:
+    """Columns derived from the message a sheet came with, then the declared sheet layout and the columns ``extra`` as they are.
 
     ``raw`` has sheet columns by normalised name plus the ``subject`` and ``received`` date.
     """
-    entity = account_name_of(F.col(subject))
-    named = raw.withColumns({
+    names = clean_names(raw, subject)
+    same = F.col(subject).eqNullSafe(F.col("__subject")) & F.col("ENTITY").cast("string").eqNullSafe(F.col("__entity"))
+    named = raw.join(names, same, "left").withColumns({
         "EMAIL_FULL_SUBJECT_LINE": F.upper(subject),
-        "ENTITY_FROM_EMAIL_SUBJECT_LINE": F.coalesce(entity, F.col("ENTITY")),
+        "ENTITY_FROM_EMAIL_SUBJECT_LINE": F.col("__name"),
         "RECORD_INSERTION_DATE": inserted.cast("date"),
-        "VALUATION_DATE": F.coalesce(F.col("VALUATION_DATE").cast("string"), F.col(received).cast("date").cast("string")),
-    }).withColumn(MATCH, match_key_of(F.col("ENTITY_FROM_EMAIL_SUBJECT_LINE")))
-    return conform(named, claim_sheet()).dropDuplicates()
+        "VALUATION_DATE": F.coalesce(F.col("VALUATION_DATE").cast("string"), F.col(received).try_cast("date").cast("string")),
+        MATCH: F.col("__key"),
+    })
+    layout = T.StructType([*claim_sheet().fields, *[raw.schema[c] for c in extra]])
+    return conform(named, layout).dropDuplicates()
 
 
 def request_list(requests: DataFrame) -> DataFrame:
@@ -122,4 +136,62 @@ def history_window(last_insert: Column) -> tuple[Column, Column]:
     return F.date_sub(last_insert, 396), F.date_add(last_insert, 91)
 
 
+def read_history(spark: SparkSession, home: str) -> DataFrame:
+    """The history a job keeps in ``home``: the declared columns, the number of the batch and the key of the row."""
+    fields = [*loss_history().fields, T.StructField("row_key", T.StringType()), T.StructField("batch", T.LongType())]
+    return _read_batches(spark, f"{home}/history", T.StructType(fields))
+
+
+def _read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Folders of finished batches; none if there is no batch yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def link_batch(new: DataFrame, number: int, home: str, requests: DataFrame, master: DataFrame, today: Column, min_score: int = 90) -> None:
+    """Link the tagged sheets of one batch and append what they add to the history.
+
+    The sheets join the store under the batch's number; older ones are read back only as far as ``history_window`` of the newest insertion
+    date of earlier batches reaches. Rows that an earlier batch has, but for their insertion date, are not added again. Both folders
+    belong to the batch, so running it again replaces what it wrote and nothing else.
+    """
+    spark = new.sparkSession
+    new.write.mode("overwrite").parquet(f"{home}/sheets/batch={number}")
+    new = spark.read.schema(claim_sheet()).parquet(f"{home}/sheets/batch={number}")
+    history = read_history(spark, home).filter(F.col("batch") < number)
+    mark = F.max("RECORD_INSERTION_DATE")
+    low, high = (history.agg(edge).scalar() for edge in history_window(mark))
+    stored = _read_batches(spark, f"{home}/sheets", T.StructType([*claim_sheet().fields, T.StructField("batch", T.LongType())]))
+    old = stored.filter((F.col("batch") < number) & F.col("VALUATION_DATE").between(low, high)).drop("batch")
+    linked = loss_history_linkage(new, old, requests, master, today, min_score)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in loss_history().names if c != "RECORD_INSERTION_DATE"]
+    keyed = linked.withColumn("row_key", F.sha2(F.to_json(F.array(*parts)), 256))
+    keyed.join(history.select("row_key"), "row_key", "left_anti").select(*linked.columns, "row_key").write.mode("overwrite").parquet(f"{home}/history/batch={number}")
+
+
+def run(spark: SparkSession, inbox: str, home: str, requests: DataFrame, master: DataFrame, today: Column, min_score: int = 90, sep: str = ",",
+        archive: str | None = None) -> None:
+    """Take the sheet files that came to ``inbox`` since the last run and append what they add to the history in ``home``.
+
+    The files are a stream: its progress log is the manifest of files already taken, so a file is taken once, and a batch that was cut off is
+    run again under its number. Files are delimited sheets with a header each and the columns SUBJECT and RECEIVED of the message; with
+    ``archive`` taken files are moved there. Without new files nothing is written.
+    """
+    reader = spark.readStream.format("text").schema("value string").option("wholetext", True)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    files = reader.load(inbox).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content"))
+    names = [*[c for c in claim_sheet().names if c not in DERIVED], "SUBJECT", "RECEIVED"]
+
+    def take(batch: DataFrame, number: int) -> None:
+        raw = files_to_rows(batch, names, sep)
+        link_batch(tag_sheets(raw, "SUBJECT", "RECEIVED", today), number, home, requests, master, today, min_score)
+
+    files.writeStream.foreachBatch(take).option("checkpointLocation", f"{home}/progress").trigger(availableNow=True).start().awaitTermination()
+
+
 SCHEMAS: dict[str, T.StructType] = {"claim_sheet": claim_sheet(), "loss_history": loss_history()}

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
-from urllib.parse import unquote
+import io
+from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.shape import cast_all, conform, normalise_names
+from millrace.operators.shape import cast_all, conform, normal_name
 
 
 def read_csv(spark: SparkSession, path, schema=None, header: bool = True, sep: str = ",", quote: str = '"',
@@ -94,32 +96,43 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, header): the first line of every file under ``paths``, read by the executors."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
-    return lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+def files_to_rows(files: DataFrame, names: list[str], sep: str = ",") -> DataFrame:
+    """Rows of delimited files given as (file, content): the text columns ``names`` and ``file``.
 
+    Each file is read by its own header inside the task that holds it; columns are found by normalised name, whatever their order, one that a file
+    lacks is null there and others are left out. Empty cells are null; rows with more or fewer cells than the header are skipped, as are
+    files without a header. Two columns of a file with one normalised name are an error.
+    """
 
-def ingest_files(spark: SparkSession, path, schema: T.StructType, sep: str = ",", source_col: str = "source_file", multi_line: bool = False) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            for file, content in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                reader = csv.reader(io.StringIO(content or "", newline=""), delimiter=sep)
+                header = [normal_name(h) for h in next(reader, [])]
+                if len(set(header)) < len(header):
+                    raise ValueError(f"column names collide in {file}: {header}")
+                place = [header.index(n) if n in header else None for n in names]
+                while header and (chunk := list(islice(reader, 10_000))):
+                    whole = [r for r in chunk if len(r) == len(header)]
+                    columns = [pa.array([None if p is None else r[p] or None for r in whole], pa.string()) for p in place]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array([file] * len(whole), pa.string())], [*names, "file"])
+
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "file")])
+    return files.select("file", "content").mapInArrow(rows, schema)
+
+
+def ingest_files(spark: SparkSession, path, schema: T.StructType, sep: str = ",", source_col: str = "source_file") -> DataFrame:
     """Many delimited files with headers: columns matched by normalised name, typed, tagged with the file's path, exact duplicates dropped.
 
-    Every file is read by its own header: files are grouped by it and each group is one read, so the plan grows with the number of
-    different headers, not of files. ``path`` is a file or folder or a list of them; rows that do not parse and unreadable files are skipped.
+    One read whatever the number of files or headers; a file, at most 2 GB, is one record and is cut into rows where it is read. ``path`` is a file
+    or folder or a list of them; rows that do not fit their header and unreadable files are skipped.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    groups = file_headers(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    frames = []
-    for group in groups:
-        names = next(csv.reader([group["header"]], delimiter=sep), [])
-        raw = (
-            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).option("header", True).option("sep", sep)
-            .option("mode", "DROPMALFORMED").option("enforceSchema", True).option("ignoreCorruptFiles", True).option("multiLine", multi_line).csv([unquote(f) for f in group["files"]])
-        )
-        tagged = normalise_names(raw).withColumn("__file", F.col("_metadata.file_path"))
-        frames.append(conform(tagged, T.StructType([*schema.fields, T.StructField("__file", T.StringType())])).withColumnRenamed("__file", source_col))
-    if not frames:
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(source_col, T.StringType())]))
-    return reduce(lambda a, b: a.unionByName(b), frames).dropDuplicates()
+    text = spark.read.option("ignoreCorruptFiles", True).text(paths, wholetext=True)
+    files = text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content"))
+    typed = conform(files_to_rows(files, [normal_name(n) for n in schema.names], sep), T.StructType([*schema.fields, T.StructField("file", T.StringType())]))
+    return typed.withColumnRenamed("file", source_col).dropDuplicates()
 
 
 def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128, fmt: str = "parquet", parts: list[str] = ()) -> None:

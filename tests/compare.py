@@ -57,6 +57,8 @@ def compare(df, con, sql: str) -> list[str]:
             problems.append(f"type of {c}: {dict(df.dtypes)[c]} against {want_types[c]}")
     got = [tuple(r) for r in df.collect()]
     a, b = normal(got_cols, got), normal(want_cols, want)
+    if not a and not b:
+        problems.append("no rows on either side, so nothing is shown")
     if len(a) != len(b):
         problems.append(f"rows {len(a)} != {len(b)}")
     if a != b:
