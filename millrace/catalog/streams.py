@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import query, table
-from millrace.streaming import streams
+from millrace.streaming import state, streams
 
 
 def _events(spark, sf):
@@ -88,3 +88,18 @@ def stream_samples(spark, sf):
         F.concat_ws(":", F.col("user_id").cast("string"), F.col("value").cast("string")).alias("member"), F.unix_millis(F.col("ts").cast("timestamp")).alias("score")
     ).write.json(path)
     return _wall(streams.drain(streams.read_samples(spark, path), "parsed"))
+
+
+@query("SELECT user_id, max(ts) AS last_ts, arg_max(value, (ts, value)) AS last_value FROM events GROUP BY 1")
+def stream_newest(spark, sf):
+    """Newest value per series from state that a series leaves a day after its last sample."""
+    return _wall(streams.drain_table(state.newest(_events(spark, sf), "user_id", "ts", "value", 24 * 3_600_000), "newest", ["user_id"]))
+
+
+@query("""
+WITH s AS (SELECT unnest([0, 1, 2, 3, 4]) AS k),
+t AS (SELECT make_timestamp((epoch_us(ts) + 59999999) // 60000000 * 60000000) + k * INTERVAL 1 MINUTE AS tick, event_type, ts, value FROM events, s)
+SELECT tick, event_type, ts, value FROM t WHERE ts > tick - INTERVAL 5 MINUTE AND tick <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events)""")
+def stream_ticks(spark, sf):
+    """The samples of the last five minutes, shown every minute."""
+    return _wall(streams.drain(state.ticks(_events(spark, sf), "event_type", "ts", "value", 300_000, 60_000), "ticks"))

@@ -45,8 +45,10 @@ def weighted_cells(viewing: DataFrame, universe: DataFrame, actives: DataFrame,
     """
     per_device = viewing.groupBy(*cells, *by, device).agg(F.sum(F.col(seconds).cast("long")).alias("__watch"))
     if any_of:
-        both = per_device.withColumn(any_of, F.explode(F.array(F.col(any_of), F.lit(ANY_CHANNEL))))
-        per_device = both.groupBy(*cells, *by, device).agg(F.sum("__watch").alias("__watch"))
+        # Only the all-viewing half is grouped by device once more; the rest keeps the grouping it has.
+        rest = [c for c in by if c != any_of]
+        whole = per_device.groupBy(*cells, *rest, device).agg(F.sum("__watch").alias("__watch")).withColumn(any_of, F.lit(ANY_CHANNEL))
+        per_device = per_device.unionByName(whole)
     # A device has one row per group here, so counting rows counts devices.
     raw = per_device.groupBy(*cells, *by).agg(F.count(device).alias("raw_reach"), F.sum("__watch").alias("raw_watchtime"))
     weight = F.try_divide(F.col("universe").cast("double"), F.col("active_pop").cast("double"))

@@ -3,10 +3,11 @@
 import datetime as dt
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
-from millrace.streaming import streams
+from millrace.streaming import state, streams
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -59,3 +60,46 @@ def test_timer(spark):
     finally:
         query.stop()
     assert spark.read.parquet(out).agg(F.sum("v")).first()[0] == sum(v for _, _, v in rows)
+
+
+def progress_of(df, mode):
+    """Rows a stream gave, by batch, and the number of state rows after each batch."""
+    got, out = [], scratch_path(df.sparkSession, "state-test")
+
+    def take(batch, number):
+        got.append([tuple(r) for r in batch.collect()])
+
+    query = df.writeStream.outputMode(mode).option("checkpointLocation", out).foreachBatch(take).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return got, [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def test_newest_keeps_state_for_a_while_only(spark):
+    """An equal or older time changes nothing, a greater value at the newest time does, and keys leave the state when their time is over."""
+    parts = [[(u, 10 + u, u) for u in range(50)], [(1, 11, 0), (1, 5, 99), (2, 12, 7)], [(3, 500, 1)], [(3, 1000, 2)], [(1, 2000, 5), (4, 2000, 5)], [(9, 9000, 1)]]
+    stream, rows = batches(spark, parts)
+    got, held = progress_of(state.newest(stream, "user", "ts", "v", keep_ms=60_000, delay="10 seconds"), "update")
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    shown = [r for part in got for r in part]
+    assert len(shown) == 50 + 1 + 1 + 1 + 2 + 1 and (2, at(12), 7.0) in shown and (1, at(2000), 5.0) in shown and (1, at(11), 1.0) in shown
+    assert max(held) >= 50 and held[-1] <= 6  # a value and a timer for each key still held
+    stream, rows = batches(spark, ROWS)
+    newest = {}
+    for part in progress_of(state.newest(stream, "user", "ts", "v", keep_ms=10**8), "update")[0]:
+        newest.update({u: (t, v) for u, t, v in part})
+    assert newest == {u: max((at(s), float(v)) for w, s, v in rows if w == u) for u in (1, 2, 3)}
+
+
+def test_ticks_show_the_trailing_rows(spark):
+    """Every tick of every series shows exactly the samples of the span before it, late ones included, gaps and repeats too."""
+    rng = np.random.default_rng(6)
+    parts = [[(int(u), int(20 * k + s), int(v)) for u, s, v in zip(rng.integers(0, 3, 12), rng.integers(-15, 40, 12), rng.integers(0, 9, 12), strict=True)] for k in range(6)]
+    parts += [[(1, 400, 1), (1, 400, 1), (7, 395, 2)], [(2, 1000, 3)], [(2, 1001, 3)]]
+    stream, rows = batches(spark, parts)
+    got, held = progress_of(state.ticks(stream, "user", "ts", "v", 20_000, 2_000, delay="1 minute"), "append")
+    seen = sorted((r for part in got for r in part), key=str)
+    last, want = max(s for _, s, _ in rows) - 60, []
+    for tick in range(-20, last + 1, 2):
+        want += [(T0 + dt.timedelta(seconds=tick), u, T0 + dt.timedelta(seconds=s), float(v)) for u, s, v in rows if tick - 20 < s <= tick]
+    assert seen == sorted(want, key=str)
+    assert held[-1] < max(held)
