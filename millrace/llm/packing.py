@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import store
-from millrace.llm.textbatch import flat, hash_spans, mix, slices
+from millrace.llm.textbatch import flat, mix, slices
+from millrace.llm.tokenids import PartCache
 
 LENGTH, END_ID, SHARD = 2048, 1, 512
 K1, B = 1.2, 0.75
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 TAIL = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, place bigint, ids binary"
-BLANK = np.zeros(256, bool)
-BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def default_vocabulary() -> str:
@@ -57,6 +56,9 @@ class Encoder:
         if odd:
             raise ValueError(f"added tokens that depend on the text around them: {odd}")
         self.added = [t["content"] for t in added]
+        ids = {**ranks, **{t["content"].encode(): t["id"] for t in added}}
+        self.token_bytes = np.zeros(max(ids.values()) + 1, np.int64)
+        self.token_bytes[list(ids.values())] = [len(t) for t in ids]
         self._ranks = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={t["content"]: t["id"] for t in added})
 
     def encode_ordinary(self, text: str) -> list[int]:
@@ -71,42 +73,16 @@ def encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of parts that tokenize alike alone and in place: before white space that follows other text.
-
-    No pre-token of the pattern spans such a place. Places after a character that may be white space beyond ASCII are left alone.
-    """
-    cut = np.zeros(len(data), bool)
-    if not len(data):
-        return np.zeros(0, np.int64)
-    blank = BLANK[data]
-    cut[1:] = blank[1:] & ~blank[:-1]
-    far = np.flatnonzero(cut)
-    far = far[data[far - 1] >= 0x80]
-    two = data[np.maximum(far - 2, 0)]
-    cut[far[np.isin(two, (0x80, 0x81, 0x9A, 0xC2))]] = False
-    cut[offsets[:-1][offsets[:-1] < len(data)]] = True
-    return np.flatnonzero(cut)
+@lru_cache(maxsize=2)
+def part_cache(vocabulary: str) -> PartCache:
+    made = encoder(vocabulary)
+    return PartCache(lambda texts: [made.encode_ordinary(t) for t in texts], made.token_bytes)
 
 
 def tokenize(column: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows, concatenated, and the row bounds: each different part of the batch is encoded once."""
-    encode = encoder(vocabulary).encode_ordinary
-    data, offsets = flat(column)
-    starts = chunks(data, offsets)
-    if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    ends = np.r_[starts[1:], len(data)]
-    _, first, inverse = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    known = [encode(raw[a:b].decode("utf-8")) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    size = np.fromiter(map(len, known), np.int64, len(known))
-    pool = np.fromiter((i for k in known for i in k), np.int64, int(size.sum()))
-    begin = np.cumsum(size) - size
-    per = size[inverse]
-    done = np.cumsum(per)
-    ids = pool[np.repeat(begin[inverse] - (done - per), per) + np.arange(done[-1])]
-    return ids, np.r_[0, done][np.searchsorted(starts, offsets)]
+    """Ids of all rows, concatenated, and the row bounds: each different part of text is encoded once per Python worker while the cache holds it."""
+    ids, bounds = part_cache(vocabulary).rows(*flat(column))
+    return ids.astype(np.int64), bounds
 
 
 def crc(ids: np.ndarray) -> int:
@@ -124,7 +100,7 @@ def cut_batches(vocabulary: str) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 for a in range(0, len(own), LENGTH):
                     piece = own[a:a + LENGTH]
                     whole = len(piece) == LENGTH
-                    place = int(code[piece].min().view(np.int64)) if not whole else int(mix(np.array([(doc or 0) + a], np.uint64))[0].view(np.int64))
+                    place = int(code[piece].min().view(np.int64)) if not whole else int(mix(np.array([((doc or 0) + a) % 2**64], np.uint64))[0].view(np.int64))
                     out.append((doc, a, len(piece), crc(piece) if whole else 0, len(own), place, None if whole else piece.astype("<u4" if own.max() > 65535 else "<u2").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in out], pa.binary() if i == 6 else pa.int64()) for i in range(7)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "place", "ids"],

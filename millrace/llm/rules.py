@@ -142,10 +142,7 @@ def quality(docs: DataFrame, labels: DataFrame, store, risk: float = RISK, level
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, store, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """The rows of ``docs`` that pass, all their columns unchanged. Statistics are taken again while filtering, so texts are not shuffled."""
-    measured = store(with_statistics(docs.select(F.col("doc_id").cast("bigint"), "text")).select("doc_id", "q"), "rules")
-    columns = docs.columns
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
-    judged = verdict(with_statistics(own), calibrate(measured, labels, risk, level))
-    # A filter would be pushed down through the statistics and repeat them inside itself; exploding an array of one row or none is not.
-    return judged.select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row")).select("row.*")
+    """The rows of ``docs`` that pass, all their columns unchanged. The rows are stored once with their statistics, which calibration and verdict read."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    measured = store(with_statistics(docs.select(row, F.col("doc_id").cast("bigint"), "text")).drop("text"), "rules")
+    return verdict(measured, calibrate(measured.select("doc_id", "q"), labels, risk, level)).where("kept").select("row.*")

@@ -519,6 +519,11 @@ def test_added_tokens(spark):
     assert sum(r["length"] for r in got) == sum(map(len, want.values()))
 
 
+def test_packing_negative_ids(spark):
+    rows = [(-5, LONG), (-2**63, LONG + " a"), (2**63 - 1, LONG + " b")]
+    check_pieces(packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), rows)
+
+
 def test_packing_prefers_lexical_neighbours():
     a, b = np.arange(2, 600), np.arange(5000, 5600)
     tails = [a, b, a[::-1].copy(), b[::-1].copy()]
