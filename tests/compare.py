@@ -42,6 +42,9 @@ def normal(names, rows):
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
+EMPTY = "no rows on either side, so nothing is shown"
+
+
 def compare(df, con, sql: str) -> list[str]:
     """Differences in columns, types, row count and values (exact, floats included)."""
     res = con.execute(sql)
@@ -58,7 +61,7 @@ def compare(df, con, sql: str) -> list[str]:
     got = [tuple(r) for r in df.collect()]
     a, b = normal(got_cols, got), normal(want_cols, want)
     if not a and not b:
-        problems.append("no rows on either side, so nothing is shown")
+        problems.append(EMPTY)
     if len(a) != len(b):
         problems.append(f"rows {len(a)} != {len(b)}")
     if a != b:

@@ -1,7 +1,7 @@
 """Every registered query equals its SQL counterpart, value by value."""
 
 import pytest
-from compare import compare, duck
+from compare import EMPTY, compare, duck
 from conftest import SF
 
 import __spark_entry__ as entry
@@ -22,7 +22,11 @@ def con():
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     if name in SQL:
-        assert compare(df, con, SQL[name]) == []
+        problems = compare(df, con, SQL[name])
+        if problems == [EMPTY]:  # the smallest tables have no such rows
+            larger = SF.replace("0.001", "0.01")
+            problems = compare(entry.queries()[name](spark, larger), duck(larger), SQL[name])
+        assert problems == []
     else:
         assert df.count() >= 0
 
