@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from millrace.catalog import claims
 from millrace.operators import ranges
-from millrace.plans import linkage
+from millrace.plans import linkage, scoring
 from millrace.session import scratch_path
 from millrace.sources import files, tables
 
@@ -112,3 +112,17 @@ def test_interval_joins_match_plain_ones(spark):
         got = sorted((r["a"], r["b"]) for r in ranges.interval_join(fa.drop("a1"), fb, "g", "a0", "b0", "b1", hours).collect())
         assert got == sorted((k, m) for g, k, x, _ in a for h, m, u, v in b if g is not None and g == h and u <= x < v)
 
+
+
+def test_a_batch_run_again_replaces_itself_only(spark):
+    import glob
+    import os
+
+    path = scratch_path(spark, "tiers")
+    rows = lambda *n: spark.createDataFrame([(k,) for k in n], "k int")
+    scoring.store_batch(rows(1, 2), 1, path)
+    scoring.store_batch(rows(3), 2, path)
+    first = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/iteration_nbr=1/*.parquet")}
+    scoring.store_batch(rows(4, 5), 2, path)
+    assert sorted(map(tuple, spark.read.parquet(path).select("iteration_nbr", "k").collect())) == [(1, 1), (1, 2), (2, 4), (2, 5)]
+    assert first == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/iteration_nbr=1/*.parquet")}
