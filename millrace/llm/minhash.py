@@ -2,7 +2,9 @@
 
 A document is the set of its distinct word shingles, as 64-bit hashes. Equal sets collapse first. Bands of full minima give
 candidates; of each minimum only the low four bits are kept, packed into longs, and the similarity is estimated from the
-number of equal nibbles, corrected for chance collisions. Candidates that may reach the threshold are confirmed on full sets.
+number of equal nibbles, corrected for chance collisions. Beside the signature a set keeps the parity of its members in each of 2,048 cells:
+two sets differ in at least as many members as in cells, which rules most pairs below the threshold out for certain. What may still
+reach it is confirmed on full sets.
 
 No bucket is expanded into all its pairs: its members are compared with one leader, connected, compared with a second leader where
 a bucket still holds several components, and only members of different components that are left meet pairwise, estimate included in
@@ -26,13 +28,15 @@ from millrace.llm.textbatch import list_column, mix, shingles, slices, split_wor
 BANDS, ROWS, BITS = 30, 5, 4  # a pair at 0.85 misses all bands with probability 2e-8, one at 0.8 with 7e-6
 HASHES = 512  # the bands use the first BANDS * ROWS
 LONGS = -(-HASHES * BITS // 64)
+CELLS = 2048
+CELL_LONGS = CELLS // 64
 SLACK = 0.08  # about five standard deviations of the estimate
 BLOCK = 1024
 _RNG = np.random.default_rng(81)
 FACTOR = (_RNG.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 SHIFT = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
 PLACES = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
-SKETCH = "doc_id bigint, n_shingles bigint, set_key bigint, set_key2 bigint, signature array<bigint>, bands array<bigint>"
+SKETCH = "doc_id bigint, n_shingles bigint, set_key bigint, set_key2 bigint, signature array<bigint>, parity array<bigint>, bands array<bigint>"
 SETS = "node bigint, shingles array<bigint>"
 
 
@@ -51,6 +55,12 @@ def pack(best: np.ndarray) -> np.ndarray:
     return np.packbits(np.r_[bits, np.zeros(LONGS * 64 - len(bits), np.uint8)], bitorder="little").view(np.int64)
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """Whether each cell holds an odd number of the set's hashes, packed into 64-bit words."""
+    odd = np.bincount(mix(own ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - CELLS.bit_length() + 1), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def band_keys(best: np.ndarray) -> np.ndarray:
     return mix((mix(best[:BANDS * ROWS].astype(np.uint64) + PLACES) * PLACES).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64))
 
@@ -62,7 +72,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         values, bounds = shingles(split_words(batch.column("text")))
-        size, keys, keys2, signs, bands = [], [], [], [], []
+        size, keys, keys2, signs, cells, bands = [], [], [], [], [], []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             own = np.unique(values[a:b])
             size.append(len(own))
@@ -70,11 +80,12 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             keys2.append(mix(own + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
             best = minima(own) if len(own) else None
             signs.append(pack(best) if len(own) else np.zeros(0, np.int64))
+            cells.append(parities(own) if len(own) else np.zeros(0, np.int64))
             bands.append(band_keys(best) if len(own) else np.zeros(0, np.uint64))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(np.array(size, np.int64)), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(keys2, np.uint64).view(np.int64)),
-             _lists(signs), _lists(bands)],
-            ["doc_id", "n_shingles", "set_key", "set_key2", "signature", "bands"],
+             _lists(signs), _lists(cells), _lists(bands)],
+            ["doc_id", "n_shingles", "set_key", "set_key2", "signature", "parity", "bands"],
         )
 
 
@@ -85,7 +96,7 @@ def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: set size, set identity, packed signature, band keys."""
+    """One row per document: set size, set identity, packed signature, parities, band keys."""
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sketch_batches, SKETCH)
 
 
@@ -131,26 +142,45 @@ def _stars(edges: DataFrame) -> bool:
     return per.where("lo <> hi or (lo is not null and below > 0)").isEmpty()
 
 
+def apart(left: str = "l_parity", right: str = "r_parity") -> Column:
+    """Cells of different parity: never more than the members that two sets do not share."""
+    count = F.lit(0)
+    for k in range(CELL_LONGS):
+        count = count + F.bit_count(F.col(left)[k].bitwiseXOR(F.col(right)[k]))
+    return count
+
+
 def _alike(percent: int) -> Column:
-    """Sizes that allow the threshold, and an estimate within the slack of it."""
+    """Sizes and parities that allow the threshold, and an estimate within the slack of it."""
     low, high = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
-    return (low * 100 >= high * percent) & (estimate() >= percent / 100 - SLACK)
+    allowed = apart() * (100 + percent) <= (low + high) * (100 - percent)  # of n + m members, d not shared: the similarity is (n + m - d) / (n + m + d)
+    return (low * 100 >= high * percent) & allowed & (estimate() >= percent / 100 - SLACK)
 
 
 def _side(nodes: DataFrame, side: str, *extra: str) -> DataFrame:
-    names = {"node": side, "n_shingles": f"{side}_n", "signature": f"{side}_signature", "shingles": f"{side}_shingles"}
+    names = {"node": side, "n_shingles": f"{side}_n", "signature": f"{side}_signature", "parity": f"{side}_parity", "shingles": f"{side}_shingles"}
     return nodes.select(*[F.col(c).alias(names.get(c, c)) for c in ("node", *extra)])
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (l, r) whose sketches allow the threshold."""
+    both = pairs.join(_side(nodes, "l", "n_shingles", "signature", "parity"), "l").join(_side(nodes, "r", "n_shingles", "signature", "parity"), "r")
+    return both.where(_alike(percent)).select("l", "r")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (l, r) whose full sets reach the threshold, as links (src, dst)."""
-    near = pairs.join(_side(nodes, "l", "n_shingles", "signature"), "l").join(_side(nodes, "r", "n_shingles", "signature"), "r").where(_alike(percent))
-    full = near.select("l", "r").join(_side(sets, "l", "shingles"), "l").join(_side(sets, "r", "shingles"), "r")
+    full = pairs.join(_side(sets, "l", "shingles"), "l").join(_side(sets, "r", "shingles"), "r")
     common = F.size(F.array_intersect("l_shingles", "r_shingles"))
     union = F.size("l_shingles") + F.size("r_shingles") - common
     return full.where(common * 100 >= union * percent).select(F.col("l").alias("src"), F.col("r").alias("dst"))
 
 
+def _grown(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after new links: the stars found so far stand for all links before."""
+    return components(comps.select(F.col("node").alias("src"), F.col("component_id").alias("dst")).unionByName(links))
+
+
 def _mixed(banded: DataFrame, comps: DataFrame) -> DataFrame:
     """Band rows of buckets that still hold several components, each with its component."""
     rows = banded.join(comps, "node", "left").withColumn("comp", F.coalesce("component_id", "node")).drop("component_id")
@@ -172,32 +202,29 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     reps = store(slim.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "reps")
     nodes = store(
         made.withColumnRenamed("doc_id", "node").join(reps.select("node", *key), ["node", *key], "left_semi")
-        .groupBy("node", *key).agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes",
+        .groupBy("node", *key).agg(*[F.first(c).alias(c) for c in ("signature", "parity", "bands")]), "nodes",
     )
     spread = nodes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     first = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other")
     banded = store(spread.join(first, "bucket").select("bucket", "node", "leader"), "banded")
     sets = store(full_sets(docs, banded.select("node").distinct()), "sets")  # of documents that share a bucket with another text
-    links = store(confirm(banded.where("node <> leader").select(F.col("leader").alias("l"), F.col("node").alias("r")).distinct(), nodes, sets, percent), "links")
-    comps = store(components(links), "comps")
+    met = banded.where("node <> leader").select(F.col("leader").alias("l"), F.col("node").alias("r")).distinct()
+    comps = store(components(confirm(likely(met, nodes, percent), sets, percent)), "comps")
 
     mixed = _mixed(banded.select("bucket", "node"), comps)
-    second = mixed.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node")).alias("leader"), F.min_by("comp", F.xxhash64("node")).alias("leader_comp"))
+    order = F.xxhash64("bucket", "node")  # a leader of its own for each bucket
+    second = mixed.groupBy("bucket").agg(F.min_by("node", order).alias("leader"), F.min_by("comp", order).alias("leader_comp"))
     again = mixed.join(second, "bucket").where("comp <> leader_comp").select(F.least("node", "leader").alias("l"), F.greatest("node", "leader").alias("r")).distinct()
-    links = store(links.unionByName(confirm(again, nodes, sets, percent)), "links")
-    comps = store(components(links), "comps")
+    comps = store(_grown(comps, confirm(likely(again, nodes, percent), sets, percent)), "comps")
 
-    rest = store(_mixed(banded.select("bucket", "node"), comps).join(nodes.select("node", "n_shingles", "signature", "bands"), "node"), "rest")
-    one, two = (
-        rest.select("bucket", *[F.col(c).alias(f"{s}_{n}" if n else s) for c, n in (("node", ""), ("comp", "comp"), ("n_shingles", "n"), ("signature", "signature"), ("bands", "bands"))])
-        for s in ("l", "r")
-    )
+    kept = {"node": "", "comp": "comp", "n_shingles": "n", "signature": "signature", "parity": "parity", "bands": "bands"}
+    rest = store(_mixed(banded.select("bucket", "node"), comps).join(nodes.select("node", *list(kept)[2:]), "node"), "rest")
+    one, two = (rest.select("bucket", *[F.col(c).alias(f"{s}_{n}" if n else s) for c, n in kept.items()]) for s in ("l", "r"))
     # A pair that shares several buckets is taken in the one of its first common band.
     band = F.array_position(F.zip_with("l_bands", "r_bands", lambda a, b: a == b), True)
     first_common = F.col("bucket") == F.xxhash64((band - 1).cast("int"), F.get("l_bands", (band - 1).cast("int")))
     left = one.join(two, "bucket").where((F.col("l") < F.col("r")) & (F.col("l_comp") != F.col("r_comp")) & _alike(percent) & first_common).select("l", "r").distinct()
-    links = links.unionByName(confirm(left, nodes, sets, percent))
-    comps = store(components(links), "comps")
+    comps = store(_grown(comps, confirm(left, sets, percent)), "comps")
 
     linked = reps.join(comps, "node", "left").select(*key, F.coalesce("component_id", "node").alias("component"))
     return slim.join(linked, key, "left").select(

@@ -118,6 +118,32 @@ def test_estimate_corrects_chance(spark):
     assert df.agg(F.min(minhash.estimate("l_signature", "l_signature"))).first()[0] == 1.0
 
 
+def test_parities_bound_the_difference(spark):
+    """Cells of different parity never outnumber the members that two sets do not share, and nearly equal them where these are few."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for size, d in [(200, 0), (200, 6), (150, 40), (3000, 900), (1, 2)]:
+        pool = rng.integers(0, 2**63, size + d).astype(np.uint64)
+        a, b = pool[:size], pool[d:]
+        rows.append((len(np.setxor1d(a, b)), minhash.parities(np.unique(a)).tolist(), minhash.parities(np.unique(b)).tolist()))
+    got = [(r["d"], r["cells"]) for r in spark.createDataFrame(rows, "d int, l_parity array<bigint>, r_parity array<bigint>").select("d", minhash.apart().alias("cells")).collect()]
+    assert all(0 <= d - cells and (d - cells) % 2 == 0 for d, cells in got) and all(d - cells <= 8 for d, cells in got if d < 100)
+
+
+def test_near_duplicates_hot_group(spark):
+    """Several hundred different texts of one origin, some within the threshold of each other and most not, in the same buckets."""
+    rng = np.random.default_rng(3)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for k in range(300):
+        w = list(base)
+        for at in rng.choice(150, rng.integers(1, 9), replace=False):
+            w[at] = f"x{rng.integers(0, 40)}"
+        rows.append((k, " ".join(w)))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 85)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 101), (103, 101), (103, 102), (7, 7)]
     got = {r["node"]: r["component_id"] for r in minhash.components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
