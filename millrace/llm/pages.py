@@ -27,13 +27,14 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:
 LABEL = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+|[0-9]+")
 #: Elements whose text is no page text, element kinds that are furniture, names that mark furniture, elements without an end tag, block elements.
-RAW = frozenset(("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object"))
+RAW = frozenset(("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "object", "annotation", "annotation-xml"))
 FURNITURE = frozenset(("nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "label", "fieldset"))
 NAMES = frozenset((
     "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "consent", "contentinfo", "cookie", "cookies",
     "disclaimer", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "popup", "promo", "promoted", "related",
     "replies", "respond", "search", "share", "sharing", "sidebar", "sidebars", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets", "disqus",
 ))
+PLAIN = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))  # a name must be furniture as a whole here: "related-work" names a section of text
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 BLOCK = frozenset((
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
@@ -60,7 +61,8 @@ def _marked(name: str, attributes: str) -> bool:
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
-    return any(w in NAMES for m in LABEL.finditer(attributes) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower()))
+    split = str.split if name in PLAIN else WORD.findall
+    return any(w in NAMES for m in LABEL.finditer(attributes) for w in split((m[1] or m[2] or m[3] or "").lower()))
 
 
 def blocks(source: str) -> tuple[list[str], list[int]]:
@@ -109,8 +111,9 @@ def blocks(source: str) -> tuple[list[str], list[int]]:
                 stack.pop()
                 zone = stack[-1][1] if stack else OPEN
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
-            at = stop.end() if stop else end
+            closed = m[3].endswith("/")
+            stop = None if closed and name in ("svg", "object") else re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
+            at = stop.end() if stop else at if closed else end
             continue
         if name in VOID or m[3].endswith("/"):
             continue

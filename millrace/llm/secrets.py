@@ -49,7 +49,14 @@ def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     if not found and not base:
         return []  # without any secret nothing can be linked
     found += [(m.start(), 4, m.end()) for m in IDENTIFIER.finditer(text)] + [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
-    return [s for s in sorted(set(found)) if not any(b[0] <= s[0] and s[2] <= b[2] for b in base if b[0] <= s[0])] if base else sorted(set(found))
+    outside, at, reach = [], 0, -1
+    for span in sorted(set(found)):
+        while at < len(base) and base[at][0] <= span[0]:
+            reach = max(reach, base[at][2])  # the farthest end of the base spans that start no later
+            at += 1
+        if span[2] > reach:
+            outside.append(span)
+    return outside
 
 
 def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

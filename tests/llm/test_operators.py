@@ -3,8 +3,10 @@
 import hashlib
 import html
 import math
+import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -195,6 +197,20 @@ def secrets_of(r):
     return [tuple(s) for s in r["base"]], sorted((s["start"], s["rank"], s["stop"]) for s in r["linked"])
 
 
+def test_weak_spans_of_many_credentials():
+    """The sweep over base spans gives what a test of each part against each base span gives, and megabytes of credentials take seconds."""
+    rng = random.Random(4)
+    kinds = ["password=Abcdef123456Ghi", "login=user1234", "auth: Zx9yWv8uTs7rQp6o", "host=db.example.org", "AKIA" + "A1B2" * 6, "0123456789abcdef" * 2, "token: user=abcdef"]
+    text = " ".join(rng.choice(kinds) for _ in range(400))
+    base = secrets.base_spans(text)
+    want = [s for s in secrets.weak_spans(text, []) if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
+    assert secrets.weak_spans(text, base) == want and len(want) > 50
+    long = " ".join(rng.choice(kinds) for _ in range(200_000))
+    began = time.monotonic()
+    secrets.weak_spans(long, secrets.base_spans(long))
+    assert len(long) > 4_000_000 and time.monotonic() - began < 60
+
+
 def test_secrets_odd(odd, none):
     assert Counter((r["doc_id"], tuple(map(tuple, r["base"]))) for r in secrets.scan(odd).collect()) == Counter((i, tuple(brute_base(t))) for i, t in ODD)
     clean = secrets.redact(odd)
@@ -290,6 +306,15 @@ def test_pages(spark):
         assert got[r["page_id"]] == (want, len(want))
 
 
+def test_blocks_keep_text_beside_closed_elements():
+    """Elements that close themselves end there; words inside an id of a heading, or inside a class of a paragraph, are no furniture; formulas are text."""
+    lines, _ = pages.blocks('<article><p>a</p><svg width="1"/><p>b</p><h2 id="related-work">Related work</h2><p class="share-price">c</p><p>d <math><mi>x</mi><annotation>\\x</annotation></math></p></article>')
+    assert lines == ["a", "b", "Related work", "c", "d x"]
+    assert pages.blocks("<p>a</p><script src='x'/><p>b</p>")[0] == ["a", "b"]
+    assert pages.blocks("<p>a</p><script src='x'>1<p>2</script><p>b</p><svg><text>t</text></svg>")[0] == ["a", "b"]
+    assert pages.blocks('<article><p class="share">x</p></article>')[1] == [pages.OUT]
+
+
 def test_pages_differencing(spark):
     """Without article elements the lines that the nearest page shares go, and only those; the rest is structure."""
     page = lambda x: f"<html><head><title>t</title></head><body><div>Site name</div><div class='side-bar sidebar'>s{x}</div><p>Unique {x} &amp; more</p><p>Menu</p><form>f{x}</form></body></html>"
