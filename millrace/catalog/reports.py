@@ -11,6 +11,11 @@ FIRST, LAST = "1995-01-01", "2001-12-31"
 NUMBERS = [125, 126, 127, 90, 189, 35, 242, 71]
 
 
+def _padded(key, width: int):
+    """Zeros in front up to ``width``; longer keys stay whole."""
+    return F.when(F.length(key) < width, F.lpad(key, width, "0")).otherwise(key)
+
+
 def _sources(spark, sf):
     t = lambda n: table(spark, sf, n)
     o, c, n, s, li, p = (t(x) for x in ("orders", "customer", "nation", "supplier", "lineitem", "part"))
@@ -59,9 +64,9 @@ def _sources(spark, sf):
     key = F.col("c_custkey").cast("string")
     addresses = c.select(
         F.col("c_custkey").alias("orgnztn_id"), F.col("c_custkey").alias("addrss_id"), F.concat(key, F.lit(" Main St ")).alias("address_1"), F.lit(None).cast("string").alias("address_2"),
-        F.when(F.col("c_acctbal") > 1000, F.lit("Millford")).alias("city"), F.lit("CT").alias("state"), F.lpad(key, 5, "0").alias("zip"), F.lit("0001").alias("zip_extn"),
+        F.when(F.col("c_acctbal") > 1000, F.lit("Millford")).alias("city"), F.lit("CT").alias("state"), _padded(key, 5).alias("zip"), F.lit("0001").alias("zip_extn"),
     )
-    phone = {"phn_area": F.lit("860"), "phn_exchng": F.lit("555"), "phn_nmbr": F.lpad(key, 4, "0"), "phn_extnsn": F.when(F.col("c_acctbal") > 5000, F.lit("7"))}
+    phone = {"phn_area": F.lit("860"), "phn_exchng": F.lit("555"), "phn_nmbr": _padded(key, 4), "phn_extnsn": F.when(F.col("c_acctbal") > 5000, F.lit("7"))}
     parts = [v.alias(k) for k, v in phone.items()]
     phones = c.select(F.col("c_custkey").alias("orgnztn_id"), F.when(F.col("c_mktsegment") == "BUILDING", "FAX").otherwise("MAIN").alias("phn_usg"), *parts)
     contacts = c.select(
@@ -113,10 +118,10 @@ prods AS (SELECT rq, string_agg(DISTINCT prd, ',' ORDER BY prd) AS products FROM
 snaps AS (SELECT o_custkey AS org, CAST(o_orderdate AS DATE) AS d, sum(CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE 0 END) AS ca, sum(floor(o_totalprice)) AS tot FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2),
 expo AS (SELECT b.rq, max(s.d) AS d FROM base b JOIN snaps s ON s.org = b.org AND s.d < b.eff GROUP BY 1)
 SELECT b.rq AS cnsmr_rqst_id, accnt_name, strftime(eff, '%m/%d/%Y') AS eff_date, CASE WHEN c_acctbal > 1000 THEN CAST(c_custkey AS VARCHAR) || ' Main St' END AS address_1, NULL::VARCHAR AS address_2,
- CASE WHEN c_acctbal > 1000 THEN 'Millford' END AS city, CASE WHEN c_acctbal > 1000 THEN 'CT' END AS state, CASE WHEN c_acctbal > 1000 THEN substr(lpad(CAST(c_custkey AS VARCHAR), 5, '0'), 1, 5) END AS zip,
+ CASE WHEN c_acctbal > 1000 THEN 'Millford' END AS city, CASE WHEN c_acctbal > 1000 THEN 'CT' END AS state, CASE WHEN c_acctbal > 1000 THEN lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') END AS zip,
  CASE WHEN c_acctbal > 1000 THEN '0001' END AS zip_extn,
- CASE WHEN c_mktsegment <> 'BUILDING' THEN '860 555 ' || substr(lpad(CAST(c_custkey AS VARCHAR), 4, '0'), 1, 4) || CASE WHEN c_acctbal > 5000 THEN ' x7' ELSE '' END END AS main_phone,
- CASE WHEN c_acctbal > 4000 THEN 'Bo, ' ELSE 'Bo, ' END || c_name AS contact_name, '860 555 ' || substr(lpad(CAST(c_custkey AS VARCHAR), 4, '0'), 1, 4) || CASE WHEN c_acctbal > 5000 THEN ' x7' ELSE '' END AS contact_phone,
+ CASE WHEN c_mktsegment <> 'BUILDING' THEN '860 555 ' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(4, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') || CASE WHEN c_acctbal > 5000 THEN ' x7' ELSE '' END END AS main_phone,
+ CASE WHEN c_acctbal > 4000 THEN 'Bo, ' ELSE 'Bo, ' END || c_name AS contact_name, '860 555 ' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(4, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') || CASE WHEN c_acctbal > 5000 THEN ' x7' ELSE '' END AS contact_phone,
  operations, producer, producer_code, producer_contact, produced_by, status, reason, successful_carrier, cur.carrier AS current_carrier,
  CASE WHEN request_type <> '3-MEDIUM' THEN left(request_type, 1) END AS credit_rating, products, loss_pick, wc_claim_admin, NULL::VARCHAR AS gl_claim_admin, NULL::VARCHAR AS al_claim_admin,
  first_dollar_premium, booked_premium, net_written_premium, nullif(tot, 0) AS total_exposure, nullif(ca, 0) AS ca_exposure, round(coalesce(ca, 0) * 100 / nullif(tot, 0), 2) AS ca_exposure_pct, ro_code, ro_name, request_type,
