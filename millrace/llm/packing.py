@@ -14,7 +14,6 @@ import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.tables import store
 from millrace.llm.textbatch import flat, mix, slices
-from millrace.llm.tokenids import PartCache
+from millrace.llm.tokenids import PartCache, once_a_worker
 
 LENGTH, END_ID, SHARD = 2048, 1, 512
 K1, B = 1.2, 0.75
@@ -68,15 +67,13 @@ class Encoder:
         return self._ranks.encode_ordinary(text)
 
 
-@lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)
+    return once_a_worker(("rank encoder", vocabulary), lambda: Encoder(vocabulary))
 
 
-@lru_cache(maxsize=2)
 def part_cache(vocabulary: str) -> PartCache:
     made = encoder(vocabulary)
-    return PartCache(lambda texts: [made.encode_ordinary(t) for t in texts], made.token_bytes)
+    return once_a_worker(("rank parts", vocabulary), lambda: PartCache(lambda texts: [made.encode_ordinary(t) for t in texts], made.token_bytes))
 
 
 def tokenize(column: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:

@@ -7,8 +7,10 @@ in place. The ids of parts are kept, by a 64-bit hash of the part, for the slice
 from __future__ import annotations
 
 import os
+import sys
+import types
 from collections.abc import Callable
-from functools import lru_cache
+from typing import Any
 
 import numpy as np
 
@@ -19,6 +21,16 @@ JOINED = 1 << 16  # bytes of parts encoded at once
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 EncodeTexts = Callable[[list[str]], list[list[int]]]
+SHELF = "millrace_worker_values"
+
+
+def once_a_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """The value of ``make()``, made once per Python worker. Code travels to the executors by value, so its own globals last for one task
+    only, and a memoised function would travel by name; what is kept lies in a module of its own instead."""
+    shelf = vars(sys.modules.setdefault(SHELF, types.ModuleType(SHELF)))
+    if key not in shelf:
+        shelf[key] = make()
+    return shelf[key]
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -117,9 +129,7 @@ def json_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=2)
-def json_cache(vocabulary: str) -> tuple[PartCache, int]:
-    """Parts encoded by the tokenizers library with a byte-level vocabulary in JSON form, and the size of the vocabulary."""
+def _json_cache(vocabulary: str) -> tuple[PartCache, int]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
     from tokenizers import Tokenizer
 
@@ -127,3 +137,8 @@ def json_cache(vocabulary: str) -> tuple[PartCache, int]:
     n = tokenizer.get_vocab_size()
     lengths = np.array([len(tokenizer.id_to_token(i) or "") for i in range(n)], np.int64)  # one character a byte
     return PartCache(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], lengths), n
+
+
+def json_cache(vocabulary: str) -> tuple[PartCache, int]:
+    """Parts encoded by the tokenizers library with a byte-level vocabulary in JSON form, and the size of the vocabulary."""
+    return once_a_worker(("json parts", vocabulary), lambda: _json_cache(vocabulary))
