@@ -1,7 +1,7 @@
 """Toxicity: bags of subword embeddings, averaged, into a linear softmax; embeddings and softmax are trained jointly in numpy.
 
 A word's subwords are its 3- to 5-byte n-grams and itself, hashed into buckets; a word is the mean of its subwords, a text the mean of its words.
-Misspellings share most n-grams with the words seen. Training takes a bounded labelled sample; scoring needs one number per bucket and class.
+Misspellings share most n-grams with the words seen; every subword of the sample is learned, those of a single text too. Training takes a bounded labelled sample; scoring needs one number per bucket and class.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ FOLDS, HELD_OUT = 5, 0
 PER_CLASS = 1500  # labelled documents of each class used for training, at most
 BUCKETS, WIDTH, GRAMS = 1 << 18, 8, (3, 4, 5)
 STEPS, RATE, SCALE, DECAY = 120, 0.05, 120.0, 1e-4
-LEAST_TEXTS = 40  # training texts a bucket must occur in; fewer if the sample is under 4,000
 
 
 def subwords(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -57,9 +56,6 @@ def train(sample: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
         weights.append((np.bincount(place, weight) * SCALE).astype(np.float32))
         base += n
     col, row, value = np.concatenate(keys), np.concatenate(rows), np.concatenate(weights)
-    spread = np.bincount(col, minlength=BUCKETS)  # texts that have the bucket
-    keep = spread[col] >= min(LEAST_TEXTS, 1 + len(sample) // 100)
-    col, row, value = col[keep], row[keep], value[keep]
     used = np.unique(col)
     number = np.zeros(BUCKETS, np.int32)
     number[used] = np.arange(len(used))
