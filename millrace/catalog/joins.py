@@ -188,6 +188,17 @@ def join_on_text(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "o_orderpriority")
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, o_custkey, o_orderkey FROM lineitem JOIN orders
+ON CAST(l_orderkey AS VARCHAR) || CAST(l_linenumber AS VARCHAR) = CAST(o_custkey AS VARCHAR) || CAST(o_orderkey % 100 AS VARCHAR)""")
+def join_on_joined_text(spark, sf):
+    """The concatenation as the key: ('12', '3') meets ('1', '23')."""
+    a = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    b = table(spark, sf, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderkey") % 100).alias("tail"))
+    out = joins.join_on_text(a, b, ["l_orderkey", "l_linenumber"], ["o_custkey", "tail"], by_parts=False)
+    return out.select("l_orderkey", "l_linenumber", "o_custkey", "o_orderkey")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') THEN l_partkey ELSE l_suppkey END AS claim_key FROM lineitem""")
 def choose_key(spark, sf):

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.catalog.registry import query, table
 from millrace.plans import declination, validation
+from millrace.session import scratch_path
+from millrace.sources import files
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
 NUMBERS = [125, 126, 127, 90, 189, 35, 242, 71]
@@ -45,11 +48,15 @@ def _sources(spark, sf):
     ).select(
         "cnsmr_rqst_id", "smmry_optn_id", F.col("smmry_optn_id").alias("apprvl_id"), F.when(F.col("sold"), "Y").alias("sold_indctr"), F.when(F.col("ok"), "Y").alias("apprvd_indctr")
     )
+    info = lambda k: (option * 2 + k).alias("accnt_infrmtn_id")
+    infos = li.where("l_linenumber <> 7").select(option.alias("smmry_optn_id"), info(0)).unionByName(
+        li.where("l_quantity > 45").select(option.alias("smmry_optn_id"), info(1))
+    ).distinct()
     values = li.select(
-        option.alias("smmry_optn_id"), F.explode(F.array(*[F.lit(x) for x in NUMBERS])).alias("elmnt_id"),
+        info(0), F.explode(F.array(*[F.lit(x) for x in NUMBERS])).alias("elmnt_id"),
         F.floor("l_extendedprice").cast("double").alias("__v"), "l_returnflag", "l_discount",
     ).select(
-        "smmry_optn_id", "elmnt_id", F.when(F.col("l_discount") > 0, F.col("__v") + F.col("elmnt_id")).alias("nmbr_vl"),
+        "accnt_infrmtn_id", "elmnt_id", F.when(F.col("l_discount") > 0, F.col("__v") + F.col("elmnt_id")).alias("nmbr_vl"),
         F.when(F.col("l_returnflag") == "R", "Admin").alias("char_vl"),
     )
     elements = values.select("elmnt_id", F.col("elmnt_id").alias("elmnt_nmbr")).distinct()
@@ -85,7 +92,7 @@ def _sources(spark, sf):
     )
     groups = roles.select("role_grp_id", F.when(F.col("role_grp_id") == 1, "ACCOUNT TEAM").otherwise("OTHER TEAM").alias("grp_name")).distinct()
     return {
-        "requests": requests, "orgs": orgs, "people": people, "options": options, "approvals": approvals, "values": values, "elements": elements, "ratings": ratings,
+        "requests": requests, "orgs": orgs, "people": people, "options": options, "approvals": approvals, "infos": infos, "values": values, "elements": elements, "ratings": ratings,
         "layers": layers, "addresses": addresses, "phones": phones, "contacts": contacts, "credits": credits, "snapshots": snapshots, "roles": roles, "groups": groups,
     }
 
@@ -105,9 +112,11 @@ base AS (SELECT o_orderkey AS rq, o_custkey AS org, a.name AS accnt_name, a.ops
 appr AS (SELECT l_orderkey AS rq, l_orderkey * 10 + l_linenumber AS opt, max(CASE WHEN l_returnflag = 'R' THEN 'Y' END) AS sold, max(CASE WHEN l_linestatus = 'F' THEN 'Y' END) AS ok FROM lineitem GROUP BY 1, 2),
 pick AS (SELECT b.rq, max(CASE WHEN (status = 'SUCCESSFUL' AND sold = 'Y') OR (status <> 'SUCCESSFUL' AND ok = 'Y') THEN opt END) AS agreed, max(opt) AS newest FROM base b JOIN appr USING (rq) GROUP BY 1),
 chosen AS (SELECT rq, coalesce(agreed, newest) AS opt FROM pick),
-vals AS (SELECT l_orderkey * 10 + l_linenumber AS opt, no, CASE WHEN l_discount > 0 THEN floor(l_extendedprice) + no END AS v, CASE WHEN l_returnflag = 'R' THEN 'Admin' END AS ch
+lone AS (SELECT opt, max(info) AS info FROM (SELECT l_orderkey * 10 + l_linenumber AS opt, (l_orderkey * 10 + l_linenumber) * 2 AS info FROM lineitem WHERE l_linenumber <> 7
+  UNION SELECT l_orderkey * 10 + l_linenumber, (l_orderkey * 10 + l_linenumber) * 2 + 1 FROM lineitem WHERE l_quantity > 45) GROUP BY 1 HAVING count(*) = 1),
+vals AS (SELECT (l_orderkey * 10 + l_linenumber) * 2 AS info, no, CASE WHEN l_discount > 0 THEN floor(l_extendedprice) + no END AS v, CASE WHEN l_returnflag = 'R' THEN 'Admin' END AS ch
   FROM lineitem, (SELECT unnest([{VALUES}]) AS no)),
-meas AS (SELECT opt, sum(CASE WHEN no = 125 THEN v END) AS booked_premium, sum(CASE WHEN no = 126 THEN v END) AS net_written_premium, sum(CASE WHEN no = 127 THEN v END) AS first_dollar_premium,
+meas AS (SELECT info, sum(CASE WHEN no = 125 THEN v END) AS booked_premium, sum(CASE WHEN no = 126 THEN v END) AS net_written_premium, sum(CASE WHEN no = 127 THEN v END) AS first_dollar_premium,
   sum(CASE WHEN no BETWEEN 87 AND 102 THEN coalesce(v, 0) END) AS loss_pick, sum(CASE WHEN no = 35 THEN coalesce(v, 0) END) AS treaty, sum(CASE WHEN no = 126 THEN coalesce(v, 0) END) AS net,
   sum(CASE WHEN no = 242 THEN coalesce(v, 0) END) AS target, sum(CASE WHEN no IN (71, 75, 79, 83) THEN v END) AS retro,
   CASE WHEN count(*) FILTER (no = 189) = 1 THEN max(CASE WHEN no = 189 THEN coalesce(ch, CAST(CAST(v AS BIGINT) AS VARCHAR)) END) END AS wc_claim_admin FROM vals GROUP BY 1),
@@ -128,7 +137,7 @@ SELECT b.rq AS cnsmr_rqst_id, accnt_name, strftime(eff, '%m/%d/%Y') AS eff_date,
  CASE WHEN c_acctbal > 0 THEN c_name END AS ho_underwriter, CASE WHEN c_acctbal > 5000 THEN c_name END AS lc_consultant, CASE WHEN c_acctbal > 0 AND c_acctbal <= 5000 THEN c_name END AS lc_account_manager,
  NULL::VARCHAR AS lc_account_executive, NULL::DOUBLE AS actual_lc, NULL::DOUBLE AS required_lc, NULL::DOUBLE AS net_at_income, NULL::DOUBLE AS combined_roe,
  round((treaty + net - retro) * 100 / nullif(target - retro, 0), 1) AS sold_to_guide_pct
-FROM base b JOIN customer ON c_custkey = b.org LEFT JOIN chosen ch ON ch.rq = b.rq LEFT JOIN meas m ON m.opt = ch.opt LEFT JOIN cur ON cur.rq = b.rq AND cur.opt = ch.opt
+FROM base b JOIN customer ON c_custkey = b.org LEFT JOIN chosen ch ON ch.rq = b.rq LEFT JOIN lone ON lone.opt = ch.opt LEFT JOIN meas m ON m.info = lone.info LEFT JOIN cur ON cur.rq = b.rq AND cur.opt = ch.opt
 LEFT JOIN prods ON prods.rq = ch.rq LEFT JOIN expo e ON e.rq = b.rq LEFT JOIN snaps s ON s.org = b.org AND s.d = e.d"""
 
 
@@ -137,6 +146,15 @@ def declination_report(spark, sf):
     return declination.declination_report(_sources(spark, sf), FIRST, LAST, "PAYROLL")
 
 
+@query("SELECT " + ", ".join(f'{c} AS "{title}"' for c, title in declination.REPORT) + f" FROM ({REPORT_SQL})")
+def declination_file(spark, sf):
+    """The report as a tab-separated file with all its titles, read back with its types."""
+    path, report = scratch_path(spark, "declined"), declination_report(spark, sf)
+    files.write_report(report, declination.REPORT, path)
+    titled = T.StructType([T.StructField(title, report.schema[c].dataType) for c, title in declination.REPORT])
+    return files.read_csv(spark, path, titled, sep="\t")
+
+
 @query("""
 WITH e AS (SELECT CAST(week(ts) AS INTEGER) AS wk, user_id, event_type, CAST(floor(value) AS BIGINT) AS amount, CASE WHEN value > 50 THEN event_type END AS kind, upper(event_type) AS name FROM events),
 n AS (SELECT name FROM e GROUP BY 1), m AS (SELECT name FROM e WHERE amount <= 300 AND name <> 'VIEW' UNION SELECT 'RADIO'),

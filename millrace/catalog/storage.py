@@ -169,6 +169,18 @@ def compacted(spark, sf):
     return spark.read.parquet(out)
 
 
+@query(f"SELECT moment, o.* FROM ({ORDERS}) o, (VALUES ('reader from before'), ('reader from after')) AS m(moment)")
+def compacted_under_reader(spark, sf):
+    """A published table compacted while a reader of the version before is still open; both read all rows."""
+    root = scratch_path(spark, "published")
+    files.publish(_orders(spark, sf).repartition(16), root)
+    before = files.published(spark, root)
+    files.compact_published(spark, root)
+    after = files.published(spark, root)
+    tag = lambda df, moment: df.select(F.lit(f"reader from {moment}").alias("moment"), "*")
+    return tag(before, "before").unionByName(tag(after, "after"))
+
+
 @query("""
 SELECT c_custkey AS id, c_acctbal AS balance, NULL::BIGINT AS keys, 'auto' AS lob FROM customer UNION ALL SELECT s_suppkey, s_acctbal, NULL, 'gl' FROM supplier
 UNION ALL SELECT p_partkey, NULL, NULL, 'prop' FROM part UNION ALL SELECT o_orderkey, NULL, o_custkey, 'wc' FROM orders""")

@@ -106,20 +106,26 @@ def chosen_options(requests: DataFrame, options: DataFrame, approvals: DataFrame
     return fallback_lookup(requests, tiers, "cnsmr_rqst_id", "smmry_optn_id")
 
 
+def lone_information(infos: DataFrame) -> DataFrame:
+    """The account information of each option that has exactly one; options with several are left out, as those with none."""
+    found = infos.groupBy("smmry_optn_id").agg(F.count("*").alias("__n"), F.max("accnt_infrmtn_id").alias("accnt_infrmtn_id"))
+    return found.filter(F.col("__n") == 1).drop("__n")
+
+
 def option_measures(values: DataFrame, elements: DataFrame) -> DataFrame:
-    """All attribute measures of an option, with the derived sold-to-guide percentage.
+    """All attribute measures of an option's account information, with the derived sold-to-guide percentage.
 
     Sums and text picks are two aggregates: sums alone can be hashed, while text makes an
     aggregate sort its rows, and only the few elements picked as text need that. Both are
-    partitioned by option, so joining them moves nothing.
+    partitioned by account information, so joining them moves nothing.
     """
     number, value = F.col("elmnt_nmbr"), F.col("nmbr_vl")
     listed = values.join(elements, "elmnt_id")
-    sums = listed.groupBy("smmry_optn_id").agg(*eav_sums(number, value, SUMS, ZERO_FILL))
-    picks = listed.filter(number.isin(*SCALARS.values())).groupBy("smmry_optn_id").agg(
+    sums = listed.groupBy("accnt_infrmtn_id").agg(*eav_sums(number, value, SUMS, ZERO_FILL))
+    picks = listed.filter(number.isin(*SCALARS.values())).groupBy("accnt_infrmtn_id").agg(
         *eav_scalars(number, as_plain(value), F.col("char_vl"), SCALARS)
     )
-    wide = sums.join(picks, "smmry_optn_id", "left")
+    wide = sums.join(picks, "accnt_infrmtn_id", "left")
     base = F.col("target_premium") - F.col("retro_loss")
     guide = F.round((F.col("actual_treaty") + F.col("net_premium") - F.col("retro_loss")) * 100 / F.nullif(base, F.lit(0.0)), 1)
     return wide.withColumns({
@@ -171,7 +177,7 @@ def account_team(roles: DataFrame, groups: DataFrame, group_name: str) -> DataFr
 
 def declination_report(src: dict[str, DataFrame], first, last, exposure_kind: str, status: str | None = None, segment: str | None = None,
                        skip_org: int | None = None, group_name: str = "ACCOUNT TEAM") -> DataFrame:
-    """``src`` holds: requests, orgs, people, options, approvals, values, elements, ratings, layers, addresses,
+    """``src`` holds: requests, orgs, people, options, approvals, infos, values, elements, ratings, layers, addresses,
     phones, contacts, credits, snapshots, roles, groups. The result has the columns of ``REPORT``.
 
     The chosen requests are pinned first (which runs jobs); every other frame is cut to their options, accounts and requests before it is aggregated.
@@ -184,12 +190,12 @@ def declination_report(src: dict[str, DataFrame], first, last, exposure_kind: st
     )
     rated = src["credits"].filter(F.col("review_status") == "COMPLETE").select("cnsmr_rqst_id", "review_id", "credit_rating")
     by_org = F.col("cnsmr_orgnztn_id").alias("orgnztn_id")
-    rows = pin(rows.select("*", by_org))
+    rows = pin(rows.join(lone_information(src["infos"]), "smmry_optn_id", "left").select("*", by_org))
 
     def asked(name: str, key: str) -> DataFrame:
         return src[name].join(rows.select(key).distinct(), key, "left_semi").select(*src[name].columns)
 
-    rows = rows.join(option_measures(asked("values", "smmry_optn_id"), src["elements"]), "smmry_optn_id", "left")
+    rows = rows.join(option_measures(asked("values", "accnt_infrmtn_id"), src["elements"]), "accnt_infrmtn_id", "left")
     rows = rows.join(current_carriers(asked("ratings", "cnsmr_rqst_id")), ["cnsmr_rqst_id", "smmry_optn_id"], "left")
     rows = rows.join(list_values(asked("layers", "wrksht_optn_id"), "wrksht_optn_id", "prdct_shrt_name", "products"), "wrksht_optn_id", "left")
     rows = first_lookup(rows, address, "orgnztn_id", [F.col(c).asc_nulls_last() for c in ("addrss_id", "address_1")])

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 from collections.abc import Iterator
 from itertools import islice
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.shape import cast_all, conform, normal_name
 
+AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # the CSV writer trims values otherwise
+
 
 def read_csv(spark: SparkSession, path, schema=None, header: bool = True, sep: str = ",", quote: str = '"',
              escape: str = "\\", mode: str = "PERMISSIVE", multi_line: bool = False) -> DataFrame:
@@ -77,8 +81,8 @@ def overwrite_partitions(df: DataFrame, path: str, cols: list[str], fmt: str = "
 
 
 def write_report(df: DataFrame, cols: list[tuple[str, str]], path: str, sep: str = "\t") -> None:
-    """Delimited text with a header; ``cols`` has (column, title) in order."""
-    df.select(*[F.col(c).alias(title) for c, title in cols]).write.mode("overwrite").csv(path, sep=sep, header=True)
+    """Delimited text with a header; ``cols`` has (column, title) in order. White space around values stays."""
+    df.select(*[F.col(c).alias(title) for c, title in cols]).write.mode("overwrite").csv(path, sep=sep, header=True, **AS_IS)
 
 
 def export_csv(df: DataFrame, path: str, by: str | None = None, single: bool = False) -> None:
@@ -87,9 +91,9 @@ def export_csv(df: DataFrame, path: str, by: str | None = None, single: bool = F
     ``single`` brings the finished rows to one writing task; the work before it stays spread.
     """
     if by:
-        write_partitioned(df.withColumn(f"{by}_part", F.col(by)), path, [f"{by}_part"], "csv", header=True)
+        write_partitioned(df.withColumn(f"{by}_part", F.col(by)), path, [f"{by}_part"], "csv", header=True, **AS_IS)
         return
-    (df.repartition(1) if single else df).write.mode("overwrite").csv(path, header=True)
+    (df.repartition(1) if single else df).write.mode("overwrite").csv(path, header=True, **AS_IS)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -140,3 +144,51 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128, fmt:
     length = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.sum("length")).first()[0] or 0
     count = max(1, -(-length // (target_mb << 20)))
     spark.read.format(fmt).load(path).hint("rebalance", int(count), *parts).write.format(fmt).mode("overwrite").partitionBy(*parts).save(out)
+
+
+def newest_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number and folder of the version of ``root`` published last; (0, None) before the first."""
+    try:
+        log = spark.read.schema("version bigint, folder string").parquet(f"{root}/log")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None
+    last = log.orderBy(F.col("version").desc(), F.col("folder").desc()).first()
+    return (last["version"], f"{root}/{last['folder']}") if last else (0, None)
+
+
+def _name_version(spark: SparkSession, root: str, folder: str) -> int:
+    version = newest_version(spark, root)[0] + 1
+    row = spark.range(1, numPartitions=1).select(F.lit(version).cast("bigint").alias("version"), F.lit(folder).alias("folder"))
+    row.write.mode("append").parquet(f"{root}/log")
+    return version
+
+
+def publish(df: DataFrame, root: str, fmt: str = "parquet", parts: list[str] = ()) -> int:
+    """Write ``df`` as the next version of ``root`` and return its number.
+
+    The rows go to a folder of their own; once they are all there, one row appended to the log names it. So a job that fails before that leaves
+    the version before it in force, and a reader keeps the folder it was given. One writer at a time; folders of old versions stay until removed.
+    """
+    folder = f"versions/{uuid.uuid4().hex}"
+    df.write.format(fmt).partitionBy(*parts).save(f"{root}/{folder}")
+    return _name_version(df.sparkSession, root, folder)
+
+
+def published(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of the version of ``root`` published last."""
+    folder = newest_version(spark, root)[1]
+    if folder is None:
+        raise ValueError(f"nothing is published in {root}")
+    return spark.read.format(fmt).load(folder)
+
+
+def compact_published(spark: SparkSession, root: str, target_mb: int = 128, fmt: str = "parquet", parts: list[str] = ()) -> int:
+    """Compact the version published last into a new one; readers of the old one go on undisturbed."""
+    now = newest_version(spark, root)[1]
+    if now is None:
+        raise ValueError(f"nothing is published in {root}")
+    folder = f"versions/{uuid.uuid4().hex}"
+    compact(spark, now, f"{root}/{folder}", target_mb, fmt, parts)
+    return _name_version(spark, root, folder)

@@ -1,6 +1,7 @@
 """Faults once found: one test each."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import text
 from millrace.operators import filters, ranges, shape
+from millrace.plans import declination
 from millrace.session import scratch_path
 from millrace.sources import files, tables
 from millrace.streaming import streams
@@ -89,6 +91,34 @@ def test_compaction_leaves_fewer_files(spark):
     assert len(spark.read.parquet(few).inputFiles()) == 1 < len(spark.read.parquet(many).inputFiles()) and spark.read.parquet(few).count() == 1000
 
 
+def test_compaction_under_readers(spark):
+    root = scratch_path(spark, "versions")
+    with pytest.raises(ValueError):
+        files.published(spark, root)
+    assert files.newest_version(spark, root) == (0, None)
+    assert files.publish(spark.range(1000).repartition(16), root) == 1
+    reader = files.published(spark, root)
+    assert files.compact_published(spark, root) == 2
+    now = files.published(spark, root)
+    assert len(now.inputFiles()) == 1 < len(reader.inputFiles()) and now.count() == reader.count() == 1000
+    assert files.publish(spark.range(0), root) == 3 and files.published(spark, root).count() == 0 and now.count() == 1000
+    spark.range(5).write.parquet(f"{root}/versions/unfinished")  # a folder that the log does not name is not read
+    assert files.published(spark, root).count() == 0
+
+
+def test_csv_keeps_white_space(spark):
+    df = spark.createDataFrame([(" a", "b "), ("c", None)], "x string, y string")
+    files.write_report(df, [("x", "X"), ("y", "Y")], path := scratch_path(spark, "report"))
+    assert Counter(files.read_csv(spark, path, sep="\t").collect()) == Counter(df.collect())
+    files.export_csv(df, path := scratch_path(spark, "export"))
+    assert Counter(files.read_csv(spark, path).collect()) == Counter(df.collect())
+
+
+def test_measures_need_exactly_one_account_information(spark):
+    infos = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (3, None)], "smmry_optn_id long, accnt_infrmtn_id long")
+    assert {tuple(r) for r in declination.lone_information(infos).collect()} == {(1, 10), (3, None)}
+
+
 def test_table_sees_new_files(spark):
     from millrace.catalog.registry import table
 
