@@ -1,9 +1,9 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
 Each rule rejects a document whose rate reaches a cutoff. Candidate cutoffs are fixed beforehand. On labelled documents of a length
-stratum, a cutoff with k of n good documents rejected is certified if P(Bin(n, risk) <= k) <= level / tests, the exact binomial bound with
-Bonferroni's correction over every rule, stratum and cutoff. The lowest certified cutoff applies; a rule without one rejects nothing.
-So with confidence 1 - level, no rule rejects more than its share of the risk of the good documents of any stratum.
+stratum, a cutoff with k of n good documents rejected is certified if P(Bin(n, risk) <= k) <= level / tests, the exact binomial bound. The
+cutoffs of a rule in a stratum are tested in a fixed order, the mildest first, up to the first that fails, so they need no correction among
+themselves; Bonferroni's correction covers the rules and strata. The last cutoff certified applies; a rule without one rejects nothing. So with confidence 1 - level, no rule rejects more than its share of the risk of the good documents of any stratum.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def calibrate(measured: DataFrame, labels: DataFrame, risk: float = RISK, level:
     null doc_id are ignored; a doc_id with several labels counts by the lowest. Without labels nothing is certified.
     """
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-    tests = len(RULES) * (len(STRATA) + 1) * len(CUTOFFS)
+    tests = len(RULES) * (len(STRATA) + 1)
     held = measured.where(~base_failed()).select("doc_id", stratum().alias("stratum"), *[c.alias(r) for r, c in rates().items()]).join(good, "doc_id", "left_semi")
     # One pass: rates fall on the fixed grid, so each (stratum, rule) has at most as many groups as cutoffs.
     long = held.select("stratum", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.floor(F.col(r) * 20 + 1e-9).alias("reach")) for r in RULES])).alias("x"))
@@ -115,6 +115,7 @@ def calibrate(measured: DataFrame, labels: DataFrame, risk: float = RISK, level:
         F.count("*").alias("n"), *[F.count_if(F.col("x.reach") >= k).alias(f"k{k}") for k in range(1, len(CUTOFFS) + 1)]
     )
     tried = counts.select("stratum", "rule", "n", F.explode(F.array(*[F.struct(F.lit(c).alias("cutoff"), F.lit(k + 1).alias("reach"), F.col(f"k{k + 1}").alias("k")) for k, c in enumerate(CUTOFFS)])).alias("t"))
+    # A lower cutoff rejects all that a higher one does, of the same n, so its bound is no smaller: all before the lowest that passes pass too.
     certified = tried.where(binomial_cdf(F.col("n"), F.col("t.k"), risk / len(RULES)) <= level / tests)
     return certified.groupBy("stratum", "rule").agg(F.min("t.reach").alias("reach"), F.min("t.cutoff").alias("cutoff"))
 

@@ -480,6 +480,31 @@ def test_cutoffs_keep_the_risk(spark):
     assert sum(r["kept"] for r in got if r["doc_id"] >= 10000) == 0
 
 
+def test_cutoffs_on_unseen_labels(spark):
+    """Half of the labels certify, as a plain fixed-order test of them does; the bound holds on the other half."""
+    sf = SF.replace("0.001", "0.1")
+    measured = store(rules.with_statistics(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "q"), "rules")
+    labels = table(spark, sf, "labels").withColumn("half", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)))
+    cut = {(r["stratum"], r["rule"]): r["reach"] for r in rules.calibrate(measured, labels.where("half = 0")).collect()}
+    assert cut
+    good = labels.where("quality = 1").join(measured.where(~rules.base_failed()), "doc_id")
+    rows = good.select("half", rules.stratum().alias("stratum"), *[F.floor(c * 20 + 1e-9).alias(r) for r, c in rules.rates().items()]).collect()
+    want = {}
+    for s in range(len(rules.STRATA) + 1):
+        seen = [r for r in rows if r["stratum"] == s and r["half"] == 0]
+        for rule in rules.RULES:
+            for reach in range(len(rules.CUTOFFS), 0, -1):
+                n, k, risk = len(seen), sum(r[rule] >= reach for r in seen), rules.RISK / len(rules.RULES)
+                terms = [math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(risk) + (n - j) * math.log(1 - risk)) for j in range(k + 1)]
+                if sum(terms) > rules.LEVEL / (len(rules.RULES) * (len(rules.STRATA) + 1)):
+                    break
+                want[s, rule] = reach
+        unseen = [r for r in rows if r["stratum"] == s and r["half"] == 1]
+        gone = sum(any(r[rule] >= cut.get((s, rule), 99) for rule in rules.RULES) for r in unseen)
+        assert gone <= rules.RISK * len(unseen) + 3 * math.sqrt(rules.RISK * len(unseen))
+    assert cut == want
+
+
 def test_language(spark):
     got = QUERIES["op8_language"](spark, SF.replace("0.001", "0.01")).join(table(spark, SF.replace("0.001", "0.01"), "documents").select("doc_id", "lang"), "doc_id").where("held_out")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
