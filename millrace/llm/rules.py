@@ -3,7 +3,8 @@
 Each rule rejects a document whose rate reaches a cutoff. Candidate cutoffs are fixed beforehand. On labelled documents of a length
 stratum, a cutoff with k of n good documents rejected is certified if P(Bin(n, risk) <= k) <= level / tests, the exact binomial bound. The
 cutoffs of a rule in a stratum are tested in a fixed order, the mildest first, up to the first that fails, so they need no correction among
-themselves; Bonferroni's correction covers the rules and strata. The last cutoff certified applies; a rule without one rejects nothing. So with confidence 1 - level, no rule rejects more than its share of the risk of the good documents of any stratum.
+themselves; Bonferroni's correction covers the rules and strata. The last cutoff certified applies; a rule without one rejects nothing.
+So with confidence 1 - level, no rule rejects more than its share of the risk of the good documents of any stratum.
 """
 
 from __future__ import annotations
