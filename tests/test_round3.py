@@ -17,3 +17,47 @@ def test_moments_inside_an_interval(spark):
     pairs = lambda **more: sorted((r["a"], r["b0"] == stamp(1)) for r in ranges.overlap_join(a, b, "g", ("a0", "a1"), ("b0", "b1"), **more).collect())
     assert pairs() == [(3, False), (3, True)]
     assert pairs(instants=True) == [(1, True), (2, False), (3, False), (3, True), (4, False), (4, True)]
+
+
+def test_a_block_of_ticks_is_linear_work():
+    """Three hours of ten samples a second come out of one timer: every tick shows its span, in little time."""
+    import time
+
+    import numpy as np
+    from millrace.streaming.state import Ticks
+
+    class Held:
+        def __init__(self):
+            self.rows = []
+
+        def get(self):
+            return self.rows
+
+        def exists(self):
+            return bool(self.rows)
+
+        def update(self, row):
+            self.rows = [row]
+
+        put = lambda self, rows: setattr(self, "rows", rows)
+        appendValue = lambda self, row: self.rows.append(row)
+        clear = lambda self: self.rows.clear()
+
+    class At:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+    work = Ticks(300_000, 2_000, 12 * 900_000)
+    work._handle = type("Handle", (), {"registerTimer": lambda self, ms: None, "deleteTimer": lambda self, ms: None})()
+    work._samples, work._next = Held(), Held()
+    us = np.arange(108_000) * 100_000
+    import pandas as pd
+
+    list(work.handleInputRows(("a", 0), iter([pd.DataFrame({"at_us": us, "number": us * 1.0})]), None))
+    began, rows, per = time.time(), 0, {}
+    for frame in work.handleExpiredTimer(("a", 0), At(10**9), At(0)):
+        rows += len(frame)
+        for tick, n in frame["tick_us"].value_counts().items():
+            per[tick] = per.get(tick, 0) + n
+    assert rows == sum(int(((us <= t) & (us > t - 300_000_000)).sum()) for t in range(0, 108_000 * 100_000, 2_000_000)) and len(per) == 5_400
+    assert time.time() - began < 30 and not work._samples.rows
