@@ -105,14 +105,16 @@ def files_to_rows(files: DataFrame, names: list[str], sep: str = ",") -> DataFra
 
     Each file is read by its own header inside the task that holds it; columns are found by normalised name, whatever their order, one that a file
     lacks is null there and others are left out. Empty cells are null; rows with more or fewer cells than the header are skipped, as are
-    files without a header. Two columns of a file with one normalised name are an error.
+    files without a header. Two columns of a file with one normalised name are an error. A text is decoded as it is read, so beside the
+    bytes of the batch Python holds some thousand rows.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(2**31 - 1)
         for batch in batches:
-            for file, content in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                reader = csv.reader(io.StringIO(content or "", newline=""), delimiter=sep)
+            for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
+                data = pa.BufferReader(content.as_buffer() if content.is_valid else b"")
+                reader = csv.reader(io.TextIOWrapper(data, "utf-8", newline=""), delimiter=sep)
                 header = [normal_name(h) for h in next(reader, [])]
                 if len(set(header)) < len(header):
                     raise ValueError(f"column names collide in {file}: {header}")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from millrace.operators import ranges
 
@@ -61,3 +62,39 @@ def test_a_block_of_ticks_is_linear_work():
             per[tick] = per.get(tick, 0) + n
     assert rows == sum(int(((us <= t) & (us > t - 300_000_000)).sum()) for t in range(0, 108_000 * 100_000, 2_000_000)) and len(per) == 5_400
     assert time.time() - began < 30 and not work._samples.rows
+
+
+def test_a_file_is_not_held_as_text(spark):
+    """Reading a long file takes little memory beside its bytes; line ends inside quotes, marks and missing texts stay as they were."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from millrace.sources import files
+
+    class Caught:
+        select = lambda self, *c: self
+        mapInArrow = lambda self, work, schema: work
+
+    work = files.files_to_rows(Caught(), ["A", "B"])
+    odd = 'A,B\n"x\r\ny",é世\n1,2,3\r\n,z'
+    batch = lambda *texts: pa.RecordBatch.from_arrays([pa.array([str(k) for k in range(len(texts))]), pa.array(texts, pa.string())], ["file", "content"])
+    got = [r for part in work(iter([batch(odd, None, "")])) for r in part.to_pylist()]
+    assert got == [{"A": "x\r\ny", "B": "é世", "file": "0"}, {"A": None, "B": "z", "file": "0"}]
+    long = batch("A,B\n" + "some text,some more of it\n" * 2_000_000)
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in work(iter([long])))
+    assert rows == 2_000_000 and tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+
+
+def test_sheet_texts_are_compared_by_id(spark):
+    """Rows whose subjects or entities differ only before cleaning are duplicates, as are rows with nulls; other columns still tell rows apart."""
+    from millrace.plans import linkage
+
+    rows = [("C1", "Café Inc", "RE: x"), ("C1", "Café Inc", "re: x"), ("C1", "Café Inc", None), ("C1", "Café Inc", None), ("C2", None, None), ("C2", None, None), (None, None, None)]
+    raw = spark.createDataFrame([(*r, dt.date(2020, 1, 1), "2019-05-06") for r in rows], "CLAIM_NUMBER string, ENTITY string, subject string, received date, VALUATION_DATE string")
+    got = linkage.tag_sheets(raw, "subject", "received", F.lit("2020-02-02"))
+    assert got.columns == linkage.SCHEMAS["claim_sheet"].names
+    shown = [(r["CLAIM_NUMBER"], r["ENTITY"], r["EMAIL_FULL_SUBJECT_LINE"], r["VALUATION_DATE"]) for r in got.collect()]
+    day = dt.date(2019, 5, 6)
+    assert sorted(shown, key=str) == sorted([("C1", "Cafe Inc", "RE: X", day), ("C1", "Cafe Inc", None, day), ("C2", None, None, day), (None, None, None, day)], key=str)
