@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import kept
 
 def masked_sum(col: str, flag: str) -> Column:
     """Sum of the amounts whose 0/1 flag is 1."""
@@ -80,13 +81,17 @@ def eav_scalars(number: Column, value: Column, text: Column, wanted: dict[str, i
 
 def eav_pivot(vals: DataFrame, elems: DataFrame, entity: str, element: str, number: str, value: str,
               wanted: dict[str, object], zero_fill: tuple[str, ...] = ()) -> DataFrame:
-    """Long (entity, element, value) rows to one wide row per entity."""
-    return vals.join(elems, element).groupBy(entity).agg(*eav_sums(F.col(number), F.col(value), wanted, zero_fill))
+    """Long (entity, element, value) rows to one wide row per entity.
+
+    The elements are kept first (which runs a job): of known size, a short list is broadcast from the start, so values are not brought together by
+    element, of which there are few, and are combined per entity before they move.
+    """
+    return vals.join(kept(elems), element).groupBy(entity).agg(*eav_sums(F.col(number), F.col(value), wanted, zero_fill))
 
 
 def eav_scalar(vals: DataFrame, elems: DataFrame, entity: str, element: str, number: str, value_text: Column, text: str,
                wanted: dict[str, int]) -> DataFrame:
-    return vals.join(elems, element).groupBy(entity).agg(
+    return vals.join(kept(elems), element).groupBy(entity).agg(
         *eav_scalars(F.col(number), value_text, F.col(text), wanted)
     )
 
