@@ -98,3 +98,20 @@ def test_sheet_texts_are_compared_by_id(spark):
     shown = [(r["CLAIM_NUMBER"], r["ENTITY"], r["EMAIL_FULL_SUBJECT_LINE"], r["VALUATION_DATE"]) for r in got.collect()]
     day = dt.date(2019, 5, 6)
     assert sorted(shown, key=str) == sorted([("C1", "Cafe Inc", "RE: X", day), ("C1", "Cafe Inc", None, day), ("C2", None, None, day), (None, None, None, day)], key=str)
+
+
+def test_numbering_and_elements_are_kept_small(spark, monkeypatch):
+    """Numbering and pivots keep Parquet, no row checkpoints, and a short list of elements is broadcast before the values move."""
+    from millrace.operators import aggregates, ranking
+    from pyspark.sql import DataFrame
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows are checkpointed")
+
+    monkeypatch.setattr(DataFrame, "checkpoint", refuse)
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
+    assert ranking.number_rows(df, [F.col("x").asc()]).filter("row_no != x + 1").count() == 0
+    vals = spark.range(2000).select((F.col("id") / 7).cast("long").alias("e"), (F.col("id") % 7).alias("k"), F.lit(1.0).alias("v"))
+    elems = vals.select("k", F.col("k").alias("n")).distinct()
+    out = aggregates.eav_pivot(vals, elems, "e", "k", "n", "v", {"one": 1})
+    assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString() and out.count() == 286
