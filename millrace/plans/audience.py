@@ -6,7 +6,7 @@ unproven one is a parameter (see README, "Known limits").
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import tidy_of
@@ -39,18 +39,23 @@ def weighted_cells(viewing: DataFrame, universe: DataFrame, actives: DataFrame,
                    device: str, seconds: str, any_of: str | None = None) -> DataFrame:
     """Raw and weighted reach and watch time per (cell, ``by``); weight = universe / active ids of the cell.
 
-    Viewing is summed per device first, so a channel holding a third of all rows is
-    combined before anything else happens. ``any_of`` names a column of ``by`` whose
-    values are also counted together under the all-viewing label.
+    Rows are sorted by device and the first of each device in a group is marked, so that devices are counted without a table of
+    all of them in memory. ``any_of`` names a column of ``by`` whose values are also counted together under the all-viewing label.
     """
-    per_device = viewing.groupBy(*cells, *by, device).agg(F.sum(F.col(seconds).cast("long")).alias("__watch"))
+    rest = [c for c in by if c != any_of]
+    order = Window.partitionBy(device, *cells, *rest).orderBy(F.col(any_of) if any_of else F.lit(0))
+    known = F.col(device).isNotNull()
+    first = F.row_number().over(order) == 1
+    rows = viewing.select(*cells, *by, device, F.col(seconds).cast("long").alias("__watch"))
     if any_of:
-        # Only the all-viewing half is grouped by device once more; the rest keeps the grouping it has.
-        rest = [c for c in by if c != any_of]
-        whole = per_device.groupBy(*cells, *rest, device).agg(F.sum("__watch").alias("__watch")).withColumn(any_of, F.lit(ANY_CHANNEL))
-        per_device = per_device.unionByName(whole)
-    # A device has one row per group here, so counting rows counts devices.
-    raw = per_device.groupBy(*cells, *by).agg(F.count(device).alias("raw_reach"), F.sum("__watch").alias("raw_watchtime"))
+        new = first | ~F.lag(any_of).over(order).eqNullSafe(F.col(any_of))
+        rows = rows.withColumns({"__whole": first & known, "__own": new & known})
+        # The all-viewing half is added before rows are combined per group, which holds a channel with a third of all rows to one row a task.
+        both = F.array(F.struct(F.col(any_of), F.col("__own").alias("__new")), F.struct(F.lit(ANY_CHANNEL).alias(any_of), F.col("__whole").alias("__new")))
+        rows = rows.select(*cells, *rest, "__watch", F.inline(both))
+    else:
+        rows = rows.withColumn("__new", first & known)
+    raw = rows.groupBy(*cells, *by).agg(F.count_if("__new").alias("raw_reach"), F.sum("__watch").alias("raw_watchtime"))
     weight = F.try_divide(F.col("universe").cast("double"), F.col("active_pop").cast("double"))
     weights = universe.join(actives, cells).select(*cells, weight.alias("__weight"))
     return (

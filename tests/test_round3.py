@@ -115,3 +115,35 @@ def test_numbering_and_elements_are_kept_small(spark, monkeypatch):
     elems = vals.select("k", F.col("k").alias("n")).distinct()
     out = aggregates.eav_pivot(vals, elems, "e", "k", "n", "v", {"one": 1})
     assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString() and out.count() == 286
+
+
+def test_devices_are_counted_without_a_table_of_them(spark):
+    """Reach of own and all viewing equals counting by hand, nulls and repeats included, and no aggregate is kept by device."""
+    from millrace.plans import audience
+
+    rows = [
+        ("s", 1, "A", 10), ("s", 1, "A", 5), ("s", 1, "B", 7), ("s", 2, "A", None), ("s", 2, None, 3), ("s", 2, None, 4), ("s", None, "A", 9), ("s", None, "C", 2),
+        ("t", 1, "B", 1), ("t", 3, "D", None), (None, 4, "A", 6), ("s", 5, "ANYTV", 8), ("s", 1, "A", 1),
+    ]
+    viewing = spark.createDataFrame([(*r, k % 2) for k, r in enumerate(rows)], "state string, device int, channel string, seconds int, slot int")
+    cells = spark.createDataFrame([("s", 10, 5), ("t", 4, 2)], "state string, universe int, active_pop int")
+
+    def by_hand(any_of):
+        seen = {}
+        for state, device, channel, seconds, slot in viewing.collect():
+            # A channel that bears the label of all viewing is counted apart from it, and both are added up.
+            for label, part in [(channel, 0), ("ANYTV", 1)][:1 + any_of]:
+                devices, watch = seen.setdefault((state, label, slot), (set(), []))
+                devices |= {(device, part)} if device is not None else set()
+                watch += [seconds] if seconds is not None else []
+        return {k: (len(d), sum(w) if w else None) for k, (d, w) in seen.items()}
+
+    for any_of in (False, True):
+        out = audience.weighted_cells(
+            viewing, cells.drop("active_pop"), cells.drop("universe"), ["state"], ["channel", "slot"], "device", "seconds", any_of="channel" if any_of else None
+        )
+        got = out.collect()
+        assert {(r["state"], r["channel"], r["slot"]): (r["raw_reach"], r["raw_watchtime"]) for r in got} == by_hand(any_of) and len(got) == len(by_hand(any_of))
+        assert {r["reach"] for r in got if r["state"] == "s"} == {r["raw_reach"] * 2 for r in got if r["state"] == "s"}
+        aggregates = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in line]
+        assert aggregates and not any("device#" in line.split("functions")[0] for line in aggregates)
