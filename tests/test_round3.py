@@ -147,3 +147,54 @@ def test_devices_are_counted_without_a_table_of_them(spark):
         assert {r["reach"] for r in got if r["state"] == "s"} == {r["raw_reach"] * 2 for r in got if r["state"] == "s"}
         aggregates = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in line]
         assert aggregates and not any("device#" in line.split("functions")[0] for line in aggregates)
+
+
+def test_modelling_a_batch_is_light_and_equals_a_plain_loop():
+    """Scores equal those of one decision after another with updates after every chunk, and a batch holds few values per decision."""
+    import tracemalloc
+
+    import numpy as np
+    from millrace.llm import mixing as m
+
+    rng = np.random.default_rng(7)
+    tree = m.huffman(rng.integers(1, 1000, 256))
+    odds = rng.normal(0, 1, (m.PREDICTORS, 1 << m.SLOT_BITS)).astype(np.float32)
+    odds[:, ::3] = 0
+    bounds = np.r_[0, np.cumsum([1, 700, 3, 40, 1500])]
+    data = rng.integers(97, 123, bounds[-1]).astype(np.uint8)
+    data[bounds[1:] - 1] = m.END
+    own, shift = m.contexts(data, bounds), np.uint32(32 - m.SLOT_BITS)
+    steps = tree.path.view(m.STEP)
+    costs = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        cost, made = 0.0, 0
+        segment = None
+        for at in range(a, b):
+            if made // m.SEGMENT != segment:  # everything starts anew with the first byte after each multiple
+                segment, weights, cells, inside = made // m.SEGMENT, np.full((m.GATES, m.PREDICTORS), m.START_WEIGHT), 1 / (1 + np.exp(-(np.arange(m.MAP_CELLS) - m.MAP_CELLS / 2 + 0.5))), []
+            for step in steps[tree.start[data[at]]:][:tree.length[data[at]]]:
+                x = [float(odds[k][(own[k][at:at + 1] * m.CONTEXT_CODE + step["node"] >> shift)[0]]) for k in range(m.PREDICTORS)]
+                if not inside:
+                    gate, before = int(x[-2] != 0) + 2 * int(x[-1] != 0), cells.copy()
+                    w, grow = weights[gate].copy(), np.zeros(m.PREDICTORS)
+                mixed = float(np.clip(np.dot(w, x), -11.5, 11.5))
+                p, cell = 1 / (1 + np.exp(-mixed)), m.MAP_CELLS // 2 + int(np.floor(mixed))
+                chance = 0.75 * p + 0.25 * before[cell]
+                cost += np.log10(max(chance if step["bit"] else 1 - chance, 1e-7))
+                grow += (step["bit"] - p) * m.WEIGHT_RATE * np.array(x)
+                cells[cell] = before[cell] + (step["bit"] - before[cell]) * m.MAP_RATE
+                inside.append(1)
+                if len(inside) == m.CHUNK:
+                    weights[gate] += grow
+                    inside = []
+                made += 1
+        costs.append(cost)
+    assert np.allclose(m.bit_costs(data, bounds, tree, odds), costs, rtol=2e-3)
+
+    data = rng.integers(97, 123, 1 << 18).astype(np.uint8)
+    bounds = np.arange(0, len(data) + 1, 1024)
+    tracemalloc.start()
+    m.bit_costs(data, bounds, tree, odds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 * tree.length[data].sum()
