@@ -15,7 +15,7 @@ from millrace.operators.filters import exclude_like, optional_filter
 from millrace.operators.joins import fallback_lookup, first_lookup
 from millrace.operators.ranges import asof_latest
 from millrace.operators.ranking import priority_of, top_one
-from millrace.session import kept
+from millrace.session import kept, passing
 
 # Element numbers of the attribute store behind each measure.
 SUMS = {
@@ -180,31 +180,34 @@ def declination_report(src: dict[str, DataFrame], first, last, exposure_kind: st
     """``src`` holds: requests, orgs, people, options, approvals, infos, values, elements, ratings, layers, addresses,
     phones, contacts, credits, snapshots, roles, groups. The result has the columns of ``REPORT``.
 
-    The chosen requests are kept first, and the elements, which are few (both run jobs); the larger other frames but the values
-    are cut to their options, accounts and requests before they are aggregated. Lookups of one key follow each other, so that the rows move once for them.
+    The requests are kept after each group of lookups, and the elements, which are few (these run jobs): the shuffles of a group, and the rows before it, are gone
+    when the next one begins. The larger other frames but the values are cut to their options, accounts and requests before they are aggregated. Lookups of one key
+    follow each other, so that the rows move once for them.
     """
-    base = base_requests(src["requests"], src["orgs"], src["people"], first, last, status, segment, skip_org)
-    rows = exposures(chosen_options(base, src["options"], src["approvals"]), src["snapshots"], exposure_kind)
+    spark = src["requests"].sparkSession
     address = src["addresses"].filter(F.col("city").isNotNull())
     main = src["phones"].filter(F.col("phn_usg") == "MAIN").select(
         "orgnztn_id", F.rtrim(phone_of(*[F.col(c) for c in ("phn_area", "phn_exchng", "phn_nmbr", "phn_extnsn")])).alias("main_phone")
     )
     rated = src["credits"].filter(F.col("review_status") == "COMPLETE").select("cnsmr_rqst_id", "review_id", "credit_rating")
     by_org = F.col("cnsmr_orgnztn_id").alias("orgnztn_id")
-    rows = kept(rows.join(lone_information(src["infos"]), "smmry_optn_id", "left").select("*", by_org))
 
     def asked(name: str, key: str) -> DataFrame:
         return src[name].join(rows.select(key).distinct(), key, "left_semi").select(*src[name].columns)
 
-    # Values are combined where they are read, many to one row; cutting them to the chosen options first would move every one of them.
-    rows = rows.join(option_measures(src["values"], kept(src["elements"])), "accnt_infrmtn_id", "left")
-    rows = rows.join(current_carriers(asked("ratings", "cnsmr_rqst_id")), ["cnsmr_rqst_id", "smmry_optn_id"], "left")
-    rows = rows.join(list_values(asked("layers", "wrksht_optn_id"), "wrksht_optn_id", "prdct_shrt_name", "products"), "wrksht_optn_id", "left")
+    with passing(spark):
+        rows = kept(base_requests(src["requests"], src["orgs"], src["people"], first, last, status, segment, skip_org))
+        rows = kept(chosen_options(rows, src["options"], src["approvals"]).join(lone_information(src["infos"]), "smmry_optn_id", "left"))
+        rows = kept(exposures(rows, src["snapshots"], exposure_kind).select("*", by_org))
+        # Values are combined where they are read, many to one row; cutting them to the chosen options first would move every one of them.
+        rows = kept(rows.join(option_measures(src["values"], kept(src["elements"])), "accnt_infrmtn_id", "left"))
+        rows = rows.join(current_carriers(asked("ratings", "cnsmr_rqst_id")), ["cnsmr_rqst_id", "smmry_optn_id"], "left")
+        rows = kept(first_lookup(rows, rated, "cnsmr_rqst_id", [F.col("review_id").desc()]))
+        rows = kept(rows.join(list_values(asked("layers", "wrksht_optn_id"), "wrksht_optn_id", "prdct_shrt_name", "products"), "wrksht_optn_id", "left"), stays=True)
     rows = first_lookup(rows, address, "orgnztn_id", [F.col(c).asc_nulls_last() for c in ("addrss_id", "address_1")])
     rows = first_lookup(rows, main, "orgnztn_id", [F.col("main_phone").asc()])
     rows = rows.join(account_contacts(asked("contacts", "orgnztn_id")), "orgnztn_id", "left")
     rows = rows.join(account_team(asked("roles", "orgnztn_id"), src["groups"], group_name), "orgnztn_id", "left")
-    rows = first_lookup(rows, rated, "cnsmr_rqst_id", [F.col("review_id").desc()])
     rows = rows.withColumns({"eff_date": F.date_format("term_effctv_date", "MM/dd/yyyy"), "status": F.col("stts_name")})
     return rows.select("cnsmr_rqst_id", *[
         F.rtrim(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in ((c, dict(rows.dtypes)[c]) for c, _ in REPORT)
