@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.catalog.registry import query, table
 from millrace.plans import declination, validation
-from millrace.session import scratch_path
+from millrace.session import passing, scratch_path
 from millrace.sources import files
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
@@ -149,8 +149,10 @@ def declination_report(spark, sf):
 @query("SELECT " + ", ".join(f'{c} AS "{title}"' for c, title in declination.REPORT) + f" FROM ({REPORT_SQL})")
 def declination_file(spark, sf):
     """The report as a tab-separated file with all its titles, read back with its types."""
-    path, report = scratch_path(spark, "declined"), declination_report(spark, sf)
-    files.write_report(report, declination.REPORT, path)
+    path = scratch_path(spark, "declined")
+    with passing(spark):
+        report = declination_report(spark, sf)
+        files.write_report(report, declination.REPORT, path)
     titled = T.StructType([T.StructField(title, report.schema[c].dataType) for c, title in declination.REPORT])
     return files.read_csv(spark, path, titled, sep="\t")
 

@@ -47,6 +47,24 @@ def test_scored_batches_leave_their_rows_alone_and_no_scratch(spark):
     assert len(left) == 1 and left.pop().startswith("tiers-")
 
 
+def test_the_report_file_leaves_no_other_scratch(spark):
+    from millrace.catalog import reports
+
+    before = folders(spark)
+    assert reports.declination_file(spark, SF).count() > 0
+    left = folders(spark) - before
+    assert len(left) == 1 and left.pop().startswith("declined-")
+
+
+def test_the_report_keeps_one_frame_of_its_requests(spark):
+    """The rows kept on the way are gone when the report is built; the last ones stay, as the result reads them."""
+    from millrace.catalog import reports
+
+    before = folders(spark)
+    report = reports.declination_report(spark, SF)
+    assert len(folders(spark) - before) == 1 and report.count() > 0
+
+
 def test_shuffle_files_go_with_their_job(spark):
     """A frame that was written leaves no shuffle files behind; one that is collected twice gives the same rows."""
     import glob
